@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.plans import gold_queries
+from tradewind.plans import gold_queries, model_oracle, model_queries
 from tradewind.plans.sample import Sample
 
-_FAMILIES = [gold_queries]
+_QUERIES = [gold_queries, model_queries]
+_ORACLES = [gold_queries, model_oracle]
 
 
 def _run(build: Callable[[Sample], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -17,8 +18,8 @@ def _run(build: Callable[[Sample], DataFrame]) -> Callable[[SparkSession, str],
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _run(build) for family in _FAMILIES for name, build in family.QUERIES.items()}
+    return {name: _run(build) for family in _QUERIES for name, build in family.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: text for family in _FAMILIES for name, text in family.ORACLE.items()}
+    return {name: text for family in _ORACLES for name, text in family.ORACLE.items()}

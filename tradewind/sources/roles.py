@@ -7,12 +7,13 @@ types) are derived from the keys, so that the cleaning rules have work to do.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions.exprs import MONEY
 from tradewind.functions.vocab import DEVICES, TRAFFIC_SOURCES
-from tradewind.sources.readers import Bronze
 
 # the five order priorities play the payment methods; the first one is cash on delivery
 PAYMENT_VOCABULARY = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -116,7 +117,28 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> Bronze:
-    return Bronze(
-        customers=customers(spark, sf_dir), products=products(spark, sf_dir), orders=orders(spark, sf_dir),
-        order_items=order_items(spark, sf_dir), events=events(spark, sf_dir))
+class SampleBronze:
+    """The five raw tables of one sample directory; each is planned only when a query reads it."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return customers(self.spark, self.sf_dir)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return products(self.spark, self.sf_dir)
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return orders(self.spark, self.sf_dir)
+
+    @cached_property
+    def order_items(self) -> DataFrame:
+        return order_items(self.spark, self.sf_dir)
+
+    @cached_property
+    def events(self) -> DataFrame:
+        return events(self.spark, self.sf_dir)

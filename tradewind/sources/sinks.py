@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewind.functions.exprs import col
+from tradewind.sources.schemas import TIMESTAMP_FORMAT
 
 DOCUMENT_BATCH = 2000
 
@@ -104,8 +104,6 @@ def replace_documents(target: DataFrame, updates: DataFrame, key: str) -> DataFr
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
-
-
-def null_as_text(c: Column | str, text: str) -> Column:
-    return F.coalesce(col(c).cast("string"), F.lit(text))
+    """CSV with a header; spaces inside values are kept."""
+    (df.write.mode("overwrite").option("header", True).option("timestampFormat", TIMESTAMP_FORMAT)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
