@@ -12,7 +12,7 @@ from tradewind.functions.exprs import dbl, literal_frame, rnd
 from tradewind.operators import (
     anomaly, basket, behaviour, churn, features, forecast, metrics, ranking, recommend, registry, sales, segment, serve,
 )
-from tradewind.operators.features import CHURN_CATEGORICAL, CHURN_NUMERIC
+from tradewind.operators.features import CHURN_NUMERIC
 from tradewind.plans.sample import SAMPLE_LOGIT, Sample
 from tradewind.plans.silver import Lake, write_silver
 from tradewind.sources import readers, schemas, sinks
@@ -263,8 +263,8 @@ def _winback(s: Sample) -> DataFrame:
     return s.spark.read.option("header", True).schema(export.schema).csv(path)
 
 
-_FEATURE_EDGE = {c: rnd(c, 6) for c in ("aov", "monetary", "spend_90d", "cart_abandon_rate", "avg_discount_pct",
-                                        "return_rate", "cancel_rate", "cod_share")}
+_RATES = [
+    "aov", "monetary", "spend_90d", "cart_abandon_rate", "avg_discount_pct", "return_rate", "cancel_rate", "cod_share"]
 
 QUERIES = {
     # ------------------------------------------------------------------ sources and sinks
@@ -321,7 +321,7 @@ QUERIES = {
     "rfm_scores": lambda s: features.rfm_scores(s.rfm),
     "log_features": lambda s: features.with_logs(s.rfm, features.RFM_LOG).select("customer_id", *[
         rnd(f"log_{c}", 6).alias(f"log_{c}") for c in features.RFM_LOG]),
-    "churn_features": lambda s: s.training_features.withColumns(_FEATURE_EDGE),
+    "churn_features": lambda s: s.training_features.withColumns({c: rnd(c, 6) for c in _RATES}),
     "churn_labels": lambda s: s.labelled.select("customer_id", "label"),
     "interactions": _pairs,
     "baskets": lambda s: features.basket_items(s.lines, "product_id").groupBy("order_id").agg(
@@ -417,5 +417,3 @@ def _smear(s: Sample) -> DataFrame:
     fitted = forecast.with_yhat(forecast.calendar_means(base, base))
     return forecast.smearing(fitted).select("series", rnd("smear", 5).alias("smear"), rnd("sigma", 5).alias("sigma"))
 
-
-CHURN_COLUMNS = ["customer_id", *CHURN_NUMERIC, *CHURN_CATEGORICAL]
