@@ -172,14 +172,16 @@ def meta(daily: DataFrame, by_category: DataFrame, as_of: Column) -> DataFrame:
 def overview(
     kpi: DataFrame, monthly: DataFrame, stats: DataFrame, segments: DataFrame, anomalies: DataFrame,
 ) -> DataFrame:
-    """The landing page as one row: KPIs, months, top 6 products, segments, last 5 unusual days."""
+    """The landing page as one row: KPIs, months, top 6 products, segments, last 5 unusual days.
+    Every nested list is short (months, segments, 6 products, 5 days)."""
 
     def nested(df: DataFrame) -> Column:
-        return df.agg(F.collect_list(F.struct(*df.columns)).alias("x")).scalar()
+        return df.agg(F.sort_array(F.collect_list(F.struct(*df.columns))).alias("x")).scalar()
 
-    top = stats.orderBy(F.desc("revenue"), "product_id").limit(6).select("product_id", "product_name", "revenue")
+    top = stats.orderBy(F.desc("revenue"), "product_id").limit(6).select(
+        (-F.col("revenue")).alias("order_key"), "product_id", "product_name", "revenue")
     days = anomalies.filter(F.col("type") == "daily_revenue").orderBy(F.desc("date")).limit(5)
     return kpi.select(
-        F.struct(*kpi.columns).alias("kpis"), F.array_sort(nested(monthly)).alias("monthly"),
+        F.struct(*kpi.columns).alias("kpis"), nested(monthly).alias("monthly"),
         nested(top).alias("top_products"), nested(segments.select("segment", "customers", "revenue")).alias("segments"),
         nested(days.select("date", "actual", "expected", "severity")).alias("anomalies"))

@@ -513,8 +513,8 @@ ORACLE = {
     "popular_products": sql("""SELECT CAST(row_number() OVER (ORDER BY sold DESC, product_id) AS INTEGER) AS rank, product_id, sold,
         product_name, category, 'Trending best-seller' AS reason FROM (
         SELECT product_id, count(*) AS sold FROM rlines GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10) JOIN products USING (product_id)"""),
-    "similar_items": """SELECT item, similar, CAST(rank AS INTEGER) AS rank, CAST(round(sim, 4) AS DOUBLE) AS score FROM (
-        SELECT a.vec_id AS item, b.vec_id AS similar, sim, row_number() OVER (PARTITION BY a.vec_id ORDER BY sim DESC, b.vec_id) AS rank
+    "similar_items": """SELECT item, similar_item, CAST(rank AS INTEGER) AS rank, CAST(round(sim, 4) AS DOUBLE) AS score FROM (
+        SELECT a.vec_id AS item, b.vec_id AS similar_item, sim, row_number() OVER (PARTITION BY a.vec_id ORDER BY sim DESC, b.vec_id) AS rank
         FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id,
         LATERAL (SELECT CAST(round(CAST(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS DECIMAL(28,10)), 6)
                  AS DECIMAL(18,6)) AS sim)) WHERE rank <= 8""",

@@ -175,7 +175,7 @@ def _with_fallback(s: Sample) -> DataFrame:
 
 def _product_detail(s: Sample) -> DataFrame:
     similar = recommend.similar_items(_items(s)).select(
-        F.col("item").alias("product_id"), F.col("similar").alias("other"), "rank", "score")
+        F.col("item").alias("product_id"), F.col("similar_item").alias("other"), "rank", "score")
     together = basket.bought_together(basket.pair_rules(
         basket.mine(features.basket_items(s.lines, "product_id"), 0.0001), 0.0))
     together = together.withColumnRenamed("companion", "other")
