@@ -16,6 +16,10 @@ MONEY_LINE = ["revenue", "gross_value", "cost", "profit", "discount_amount"]
 MONEY_ORDER = ["gross_value", "net_amount", "discount_amount", "profit"]
 
 
+# queries that read the silver tables several times
+STAGED = {"kpi_document", "customer_profiles"}
+
+
 def _edge(df, cols):
     """Decimals leave as doubles."""
     return df.withColumns({c: dbl(c) for c in cols})

@@ -33,6 +33,19 @@ TRUTH = [
 ]
 
 
+# queries that read the silver tables several times
+STAGED = {
+    "winback_export", "segment_top_customers", "segment_customers", "churn_by_segment", "churn_customers",
+    "customer_search", "customer_actions", "feature_medians", "recs_with_fallback", "overview", "product_detail",
+    "churn_features", "churn_labels", "risk_bands", "risk_histogram", "clv", "logit_contributions", "what_if_scores",
+    "segmentation", "segment_profile", "pca_points", "churn_model_metrics", "churn_scores", "popularity_baseline",
+    "ranking_metrics", "recommendation_documents", "als_recommendations", "als_similar_products", "anomaly_list",
+    "anomaly_validation", "forecast_window", "forecast_forest", "forecast_evaluation", "forecast_intervals",
+    "forecast_metrics", "baseline_calendar_regression", "baseline_seasonal_naive", "baseline_moving_average",
+    "trend_fit", "seasonal_effects", "smearing", "daily_anomalies", "rfm_scores", "scaled_features", "win_ntile",
+}
+
+
 # --------------------------------------------------------------------- helpers over the sample
 def _scored_documents(s: Sample) -> DataFrame:
     """labels x documents with a deterministic score and label."""
@@ -42,6 +55,11 @@ def _scored_documents(s: Sample) -> DataFrame:
         "doc_id", rnd(score, 4).alias("score"), F.col("quality").alias("label"))
 
 
+def _days(s: Sample, column: str = "revenue", total_only: bool = False) -> DataFrame:
+    """One measure of the gap-free daily series, materialised: the models read it many times."""
+    return cut_lineage(forecast.as_value(s.total_days if total_only else s.days, column))
+
+
 def _pairs(s: Sample) -> DataFrame:
     return features.interactions(s.lines, s.events)
 
@@ -83,12 +101,8 @@ def _items(s: Sample) -> DataFrame:
         F.col("vec_id").alias("item"), F.col("embedding").cast("array<double>").alias("features"))
 
 
-def _revenue_days(s: Sample) -> DataFrame:
-    return forecast.as_value(s.days, "revenue")
-
-
 def _metric_inputs(s: Sample) -> DataFrame:
-    days = cut_lineage(_revenue_days(s))
+    days = _days(s)
     parts = {
         "hybrid": forecast.hybrid_backtest(days), "naive": forecast.seasonal_naive(days),
         "average": forecast.moving_average(days)}
@@ -301,7 +315,7 @@ QUERIES = {
     "recs_with_fallback": _with_fallback,
     "rule_search": lambda s: _found_rules(s),
     "forecast_window": lambda s: forecast.forecast_window(
-        forecast.forecast_documents(_revenue_days(s)), forecast.ALL_SERIES),
+        forecast.forecast_documents(_days(s)), forecast.ALL_SERIES),
     "customer_search": lambda s: serve.search_customers(s.scored_profiles, "1").select(
         "customer_id", "full_name", "total_spent"),
     "customer_monthly_spend": lambda s: serve.customer_monthly_spend(s.orders),
@@ -318,7 +332,7 @@ QUERIES = {
     "rule_graph_edges": lambda s: basket.graph_edges(_pair_docs(s)),
     # ------------------------------------------------------------------ features
     "rfm_features": lambda s: s.rfm,
-    "rfm_scores": lambda s: features.rfm_scores(s.rfm),
+    "rfm_scores": lambda s: features.rfm_scores(s.rfm).select("customer_id", "R", "F", "M", "score"),
     "log_features": lambda s: features.with_logs(s.rfm, features.RFM_LOG).select("customer_id", *[
         rnd(f"log_{c}", 6).alias(f"log_{c}") for c in features.RFM_LOG]),
     "churn_features": lambda s: s.training_features.withColumns({c: rnd(c, 6) for c in _RATES}),
@@ -362,18 +376,18 @@ QUERIES = {
     "pair_rules": _pair_rules,
     "bought_together": lambda s: basket.bought_together(_pair_rules(s)),
     # ------------------------------------------------------------------ forecast and anomalies
-    "trend_fit": lambda s: forecast.trend_fit(_revenue_days(s)).select(
+    "trend_fit": lambda s: forecast.trend_fit(_days(s)).select(
         "series", "start", rnd("intercept", 6).alias("intercept"), rnd("slope", 8).alias("slope")),
     "seasonal_effects": lambda s: _seasonal(s),
     "smearing": lambda s: _smear(s),
-    "baseline_seasonal_naive": lambda s: forecast.seasonal_naive(_revenue_days(s)),
-    "baseline_moving_average": lambda s: forecast.moving_average(_revenue_days(s)).withColumn(
+    "baseline_seasonal_naive": lambda s: forecast.seasonal_naive(_days(s)),
+    "baseline_moving_average": lambda s: forecast.moving_average(_days(s)).withColumn(
         "predicted", rnd("predicted", 4)),
-    "baseline_calendar_regression": lambda s: forecast.calendar_regression(_revenue_days(s)),
+    "baseline_calendar_regression": lambda s: forecast.calendar_regression(_days(s)),
     "forecast_metrics": lambda s: metrics.regression_metrics(_metric_inputs(s), ["series", "model"]),
-    "forecast_intervals": lambda s: forecast.forecast_intervals(_revenue_days(s)),
-    "forecast_forest": lambda s: forecast.forecast_intervals(_revenue_days(s), forecast.random_forest()),
-    "forecast_evaluation": lambda s: forecast.evaluate(cut_lineage(_revenue_days(s)), forecast.random_forest()),
+    "forecast_intervals": lambda s: forecast.forecast_intervals(_days(s)),
+    "forecast_forest": lambda s: forecast.forecast_intervals(_days(s), forecast.random_forest()),
+    "forecast_evaluation": lambda s: forecast.evaluate(_days(s), forecast.random_forest()),
     "daily_anomalies": _day_anomalies,
     "high_value_orders": lambda s: anomaly.high_value_orders(s.orders, IQR_MULTIPLIER),
     "return_abuse": lambda s: anomaly.return_abuse(s.orders),
@@ -403,7 +417,7 @@ def _touched(s: Sample) -> DataFrame:
 
 
 def _fitted(s: Sample):
-    days = cut_lineage(_revenue_days(s))
+    days = _days(s)
     base = with_calendar_features(forecast.with_trend(days, forecast.trend_fit(days)))
     return base.withColumn("resid", F.log1p("value") - F.col("trend"))
 

@@ -13,12 +13,12 @@ _QUERIES = [gold_queries, model_queries]
 _ORACLES = [gold_queries, model_oracle]
 
 
-def _run(build: Callable[[Sample], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: build(Sample(spark, sf_dir))
+def _run(build: Callable[[Sample], DataFrame], staged: bool) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: build(Sample(spark, sf_dir, staged))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _run(build) for family in _QUERIES for name, build in family.QUERIES.items()}
+    return {name: _run(build, name in family.STAGED) for family in _QUERIES for name, build in family.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tradewind.operators import behaviour, churn, features, forecast, sales, segment, silver
 from tradewind.operators.churn import LogitModel, LogitTerm
-from tradewind.plans.silver import Silver
+from tradewind.plans.silver import Silver, Staged
 from tradewind.sources import roles
+from tradewind.sources.scratch import cut_lineage, scratch_path
 
 SESSION_GAP_SECONDS = 8 * 3600
 
@@ -31,10 +32,11 @@ SAMPLE_LOGIT = LogitModel(0.35, (
 
 
 class Sample:
-    """Lazy view of one sample directory."""
+    """Lazy view of one sample directory.  `staged` keeps the silver tables a query uses as Parquet
+    in the shared folder for the length of that query."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, staged: bool = False):
+        self.spark, self.sf_dir, self.staged = spark, sf_dir, staged
 
     def table(self, name: str) -> DataFrame:
         return roles.table(self.spark, self.sf_dir, name)
@@ -44,10 +46,11 @@ class Sample:
         return roles.SampleBronze(self.spark, self.sf_dir)
 
     @cached_property
-    def silver(self) -> Silver:
-        return Silver(
+    def silver(self) -> Silver | Staged:
+        tables = Silver(
             self.bronze, roles.city_vocabulary(self.spark, self.sf_dir), roles.PAYMENT_VOCABULARY,
             partial(silver.sessionise, gap_seconds=SESSION_GAP_SECONDS))
+        return Staged(self.spark, tables, scratch_path(self.spark, "silver")) if self.staged else tables
 
     @property
     def customers(self) -> DataFrame:
@@ -81,10 +84,9 @@ class Sample:
     @cached_property
     def clustered(self) -> DataFrame:
         """Buyers with a deterministic cluster (0..4) from their RFM scores."""
-        scores = features.rfm_scores(self.rfm)
         total = F.col("R") + F.col("F") + F.col("M")
-        return self.rfm.join(scores, "customer_id").withColumn(
-            "prediction", F.floor((total - 3) / 3).cast("int"))
+        return cut_lineage(features.rfm_scores(self.rfm).withColumn(
+            "prediction", F.floor((total - 3) / 3).cast("int")))
 
     def churn_features(self, as_of, session_as_of) -> DataFrame:
         return features.churn_features(
@@ -119,7 +121,8 @@ class Sample:
     def scored_profiles(self) -> DataFrame:
         """Profiles with churn score, value and segment, as the serving queries read them."""
         clustered = self.clustered
-        named = segment.assign_segments(clustered, segment.name_clusters(segment.cluster_profile(clustered)))
+        named = segment.assign_segments(
+            clustered, segment.name_clusters(cut_lineage(segment.cluster_profile(clustered))))
         scores = self.valued.select("customer_id", "churn_probability", "churn_risk", "clv_12m")
         return self.profiles.withColumnRenamed("segment", "_s").join(scores, "customer_id", "left").join(
             named, "customer_id", "left").withColumn("segment", F.coalesce("segment", "_s")).drop("_s")

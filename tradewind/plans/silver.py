@@ -8,6 +8,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradewind.functions.calendar import month_key
 from tradewind.functions.vocab import CITY_COORDINATES, PAYMENT_METHODS
 from tradewind.operators import clean, silver
 from tradewind.sources.readers import Bronze
@@ -15,8 +16,8 @@ from tradewind.sources.sinks import write_lake
 
 # table -> partition column of its Parquet folder
 LAKE_LAYOUT = {
-    "customers": None, "products": None, "orders": "order_month", "lines": "order_date",
-    "events": None, "sessions": "session_date",
+    "customers": None, "products": None, "orders": "order_month", "lines": "order_month",
+    "events": None, "sessions": None,
 }
 
 
@@ -91,6 +92,27 @@ class Lake(_AsOf):
             setattr(self, name, spark.read.parquet(f"{root}/{name}"))
 
 
+class Staged(_AsOf):
+    """Silver tables for work that reads them many times: each is written to `root` as Parquet when
+    first used and read back from there, so it is cleaned and joined once and later scans are
+    pruned to the columns they need."""
+
+    def __init__(self, spark: SparkSession, tables: Silver, root: str):
+        self._spark, self._tables, self._root = spark, tables, root
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in LAKE_LAYOUT:
+            raise AttributeError(name)
+        path = f"{self._root}/{name}"
+        write_lake(getattr(self._tables, name), path)
+        frame = self._spark.read.parquet(path)
+        setattr(self, name, frame)
+        return frame
+
+
 def write_silver(tables: Silver, root: str) -> None:
     for name, partition in LAKE_LAYOUT.items():
-        write_lake(getattr(tables, name), f"{root}/{name}", partition)
+        frame = getattr(tables, name)
+        if partition and partition not in frame.columns:
+            frame = frame.withColumn(partition, month_key("order_date"))
+        write_lake(frame, f"{root}/{name}", partition)
