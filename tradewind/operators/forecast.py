@@ -7,6 +7,7 @@ categories.  Series hold one row per day, whatever the order volume.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -26,8 +27,8 @@ AVERAGE_DAYS = 28
 Z80, Z95 = 1.2816, 1.96
 SEASON_KEYS = ["dow", "month", "sale_flag"]
 
-# (training days with `resid`, days to predict) -> days to predict with `season`
-Seasonality = Callable[[DataFrame, DataFrame], DataFrame]
+# fitted on training days with `resid`; gives a function that adds `season` to any days
+Seasonality = Callable[[DataFrame], Callable[[DataFrame], DataFrame]]
 
 
 # ----------------------------------------------------------------- series
@@ -73,11 +74,15 @@ def with_trend(days: DataFrame, trend: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- seasonality
-def calendar_means(train: DataFrame, frame: DataFrame) -> DataFrame:
+def calendar_means(train: DataFrame) -> Callable[[DataFrame], DataFrame]:
     """Mean residual per series and (day of week, month, in-sale); 0 for unseen combinations."""
-    effects = seasonal_effects(train)
-    return frame.join(effects.select("series", *SEASON_KEYS, F.col("effect").alias("_e")), ["series", *SEASON_KEYS], "left"
-                      ).withColumn("season", F.coalesce("_e", F.lit(0.0))).drop("_e")
+    effects = seasonal_effects(train).select("series", *SEASON_KEYS, F.col("effect").alias("_e"))
+
+    def add(frame: DataFrame) -> DataFrame:
+        return frame.join(effects, ["series", *SEASON_KEYS], "left").withColumn(
+            "season", F.coalesce("_e", F.lit(0.0))).drop("_e")
+
+    return add
 
 
 def seasonal_effects(train: DataFrame) -> DataFrame:
@@ -87,7 +92,7 @@ def seasonal_effects(train: DataFrame) -> DataFrame:
 def random_forest(trees: int = 120, depth: int = 7, seed: int = 42) -> Seasonality:
     """One forest over all series (the series is a categorical feature) on the calendar features."""
 
-    def season(train: DataFrame, frame: DataFrame) -> DataFrame:
+    def fit(train: DataFrame) -> Callable[[DataFrame], DataFrame]:
         model = Pipeline(stages=[
             StringIndexer(inputCol="series", outputCol="_series", handleInvalid="keep"),
             VectorAssembler(inputCols=[*CALENDAR_FEATURES, "_series"], outputCol="_features"),
@@ -95,25 +100,36 @@ def random_forest(trees: int = 120, depth: int = 7, seed: int = 42) -> Seasonali
                 featuresCol="_features", labelCol="resid", predictionCol="season", numTrees=trees, maxDepth=depth,
                 minInstancesPerNode=4, featureSubsetStrategy="0.6", seed=seed),
         ]).fit(train)
-        return model.transform(frame).drop("_series", "_features")
+        return lambda frame: model.transform(frame).drop("_series", "_features")
 
-    return season
+    return fit
 
 
 # ----------------------------------------------------------------- hybrid model
-def hybrid_predict(train: DataFrame, frame: DataFrame, season: Seasonality = calendar_means) -> DataFrame:
-    """Trend plus seasonality fitted on `train` (series, date, value), applied to `frame` (series, date).
+@dataclass(frozen=True)
+class HybridModel:
+    """Trend plus seasonality, fitted for all series at once."""
+
+    trend: DataFrame                             # one row per series
+    add_season: Callable[[DataFrame], DataFrame]
+    spread: DataFrame                            # smear and sigma per series
+
+    def predict(self, frame: DataFrame) -> DataFrame:
+        """Adds `yhat` (back-transformed, at least 0, times the smearing factor), `sigma` and `smear`."""
+        days = self.add_season(with_calendar_features(with_trend(frame, self.trend)))
+        return with_yhat(days).join(self.spread, "series").withColumn("yhat", F.col("yhat") * F.col("smear"))
 
-    Adds `yhat` (back-transformed, at least 0, times the smearing factor), `sigma` and `smear`.
-    Residuals for both come from the training days.
-    """
+
+def hybrid_fit(train: DataFrame, season: Seasonality = calendar_means) -> HybridModel:
+    """Fits on `train` (series, date, value); the residual spread comes from the same days."""
     trend = cut_lineage(trend_fit(train))
     base = cut_lineage(with_calendar_features(with_trend(train, trend)))
-    fit_on = base.withColumn("resid", F.log1p("value") - F.col("trend"))
-    fitted = season(fit_on, base)
-    spread = smearing(with_yhat(fitted))
-    future = season(fit_on, with_calendar_features(with_trend(frame, trend)))
-    return with_yhat(future).join(spread, "series").withColumn("yhat", F.col("yhat") * F.col("smear"))
+    add_season = season(base.withColumn("resid", F.log1p("value") - F.col("trend")))
+    return HybridModel(trend, add_season, cut_lineage(smearing(with_yhat(add_season(base)))))
+
+
+def hybrid_predict(train: DataFrame, frame: DataFrame, season: Seasonality = calendar_means) -> DataFrame:
+    return hybrid_fit(train, season).predict(frame)
 
 
 def with_yhat(df: DataFrame) -> DataFrame:
@@ -179,10 +195,10 @@ def hybrid_backtest(days: DataFrame, season: Seasonality = calendar_means, holdo
         "series", "date", F.col("value").alias("actual"), F.col("yhat").alias("predicted"))
 
 
-def evaluate(days: DataFrame, season: Seasonality = calendar_means, holdout: int = HOLDOUT_DAYS) -> DataFrame:
+def evaluate(days: DataFrame, hybrid: DataFrame | None = None, holdout: int = HOLDOUT_DAYS) -> DataFrame:
     """(series, model, mape, weekly_mape, rmse, mae, r2) of the hybrid and the three baselines."""
     runs = {
-        "Hybrid trend + seasonality": hybrid_backtest(days, season, holdout),
+        "Hybrid trend + seasonality": hybrid_backtest(days, calendar_means, holdout) if hybrid is None else hybrid,
         "Calendar Linear Regression": calendar_regression(days, holdout),
         "Seasonal Naive (last week)": seasonal_naive(days, holdout),
         "28-day Moving Average": moving_average(days, holdout),
@@ -202,9 +218,11 @@ def future_days(days: DataFrame, horizon: int = HORIZON_DAYS) -> DataFrame:
 
 def forecast_intervals(days: DataFrame, season: Seasonality = calendar_means, horizon: int = HORIZON_DAYS) -> DataFrame:
     """(series, date, yhat, lo80, hi80, lo95, hi95) for the next `horizon` days."""
-    pred = hybrid_predict(days, future_days(days, horizon), season)
+    return with_intervals(hybrid_predict(days, future_days(days, horizon), season))
+
 
-    def band(z: float):
+def with_intervals(pred: DataFrame) -> DataFrame:
+    def band(z: float) -> Column:
         return rnd(F.expm1(F.log1p("yhat") + F.lit(z) * F.col("sigma")), 2)
 
     return pred.select(
@@ -227,11 +245,12 @@ def forecast_documents(
     def nested(df, fields, name):
         return df.groupBy("series").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias(name))
 
-    history = fitted_days(days, season).select(
-        "series", "date", rnd("actual", 2).alias("actual"), rnd("fitted", 2).alias("fitted"))
-    held = hybrid_backtest(days, season, holdout).select(
-        "series", "date", rnd("actual", 2).alias("actual"), rnd("predicted", 2).alias("predicted"))
-    ahead = cut_lineage(forecast_intervals(days, season, horizon))
+    model = hybrid_fit(days, season)
+    history = model.predict(days).select(
+        "series", "date", rnd("value", 2).alias("actual"), rnd("yhat", 2).alias("fitted"))
+    backtest = cut_lineage(hybrid_backtest(days, season, holdout))
+    held = backtest.select("series", "date", rnd("actual", 2).alias("actual"), rnd("predicted", 2).alias("predicted"))
+    ahead = cut_lineage(with_intervals(model.predict(future_days(days, horizon))))
     first = F.min("date").over(Window.partitionBy("series"))
     near = ahead.withColumn("_f", first).filter(F.datediff("date", "_f") < 30).groupBy("series").agg(
         rnd(F.sum("yhat"), 2).alias("next_30_days"))
@@ -242,7 +261,7 @@ def forecast_documents(
     for part in (
         nested(held, ["date", "actual", "predicted"], "holdout"),
         nested(ahead, ["date", "yhat", "lo80", "hi80", "lo95", "hi95"], "forecast"),
-        nested(evaluate(days, season, holdout), ["model", "mape", "weekly_mape", "rmse", "mae", "r2"], "evaluation"),
+        nested(evaluate(days, backtest, holdout), ["model", "mape", "weekly_mape", "rmse", "mae", "r2"], "evaluation"),
         near, recent,
     ):
         out = out.join(part, "series")

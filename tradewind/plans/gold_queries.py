@@ -17,7 +17,7 @@ MONEY_ORDER = ["gross_value", "net_amount", "discount_amount", "profit"]
 
 
 # queries that read the silver tables several times
-STAGED = {"kpi_document", "customer_profiles"}
+STAGED = {"kpi_document"}
 
 
 def _edge(df, cols):

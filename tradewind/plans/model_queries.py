@@ -14,7 +14,7 @@ from tradewind.operators import (
 )
 from tradewind.operators.features import CHURN_NUMERIC
 from tradewind.plans.sample import SAMPLE_LOGIT, Sample
-from tradewind.plans.silver import Lake, write_silver
+from tradewind.plans.silver import write_silver
 from tradewind.sources import readers, schemas, sinks
 from tradewind.sources.scratch import cut_lineage, scratch_path
 
@@ -42,7 +42,7 @@ STAGED = {
     "ranking_metrics", "recommendation_documents", "als_recommendations", "als_similar_products", "anomaly_list",
     "anomaly_validation", "forecast_window", "forecast_forest", "forecast_evaluation", "forecast_intervals",
     "forecast_metrics", "baseline_calendar_regression", "baseline_seasonal_naive", "baseline_moving_average",
-    "trend_fit", "seasonal_effects", "smearing", "daily_anomalies", "rfm_scores", "scaled_features", "win_ntile",
+    "trend_fit", "seasonal_effects", "smearing", "daily_anomalies", "rfm_scores", "scaled_features", "win_ntile", "high_value_orders",
 }
 
 
@@ -109,6 +109,11 @@ def _metric_inputs(s: Sample) -> DataFrame:
     return reduce(DataFrame.unionByName, [p.withColumn("model", F.lit(n)) for n, p in parts.items()])
 
 
+def _forest_evaluation(s: Sample) -> DataFrame:
+    days = _days(s)
+    return forecast.evaluate(days, forecast.hybrid_backtest(days, forecast.random_forest()))
+
+
 def _day_anomalies(s: Sample) -> DataFrame:
     days = cut_lineage(s.total_days)
     money = forecast.fitted_days(forecast.as_value(days, "revenue")).select(
@@ -165,8 +170,7 @@ def _als(s: Sample, grid=recommend.ALS_GRID, max_iter: int = 12):
 
 def _als_recommendations(s: Sample) -> DataFrame:
     model, (umap, imap), _, data = _als(s)
-    recs = recommend.recommend(model, umap.select("uid"), umap, imap)
-    top = recommend.top_k_excluding(recs, data.filter("buys > 0"))
+    top = recommend.recommend_unseen(model, umap, umap, imap, data.filter("buys > 0"))
     return recommend.recommendation_documents(recommend.recommendation_rows(top, s.products, s.lines))
 
 
@@ -233,9 +237,7 @@ def _jsonl_dir(s: Sample) -> DataFrame:
 
 def _parquet_roundtrip(s: Sample) -> DataFrame:
     """Silver written to the lake, gold computed from the lake."""
-    path = scratch_path(s.spark, "lake")
-    write_silver(s.silver, path)
-    lake = Lake(s.spark, path)
+    lake = write_silver(s.spark, s.silver, scratch_path(s.spark, "lake"))
     return sales.sales_daily(lake.orders)
 
 
@@ -387,7 +389,7 @@ QUERIES = {
     "forecast_metrics": lambda s: metrics.regression_metrics(_metric_inputs(s), ["series", "model"]),
     "forecast_intervals": lambda s: forecast.forecast_intervals(_days(s)),
     "forecast_forest": lambda s: forecast.forecast_intervals(_days(s), forecast.random_forest()),
-    "forecast_evaluation": lambda s: forecast.evaluate(_days(s), forecast.random_forest()),
+    "forecast_evaluation": _forest_evaluation,
     "daily_anomalies": _day_anomalies,
     "high_value_orders": lambda s: anomaly.high_value_orders(s.orders, IQR_MULTIPLIER),
     "return_abuse": lambda s: anomaly.return_abuse(s.orders),
@@ -428,6 +430,6 @@ def _seasonal(s: Sample) -> DataFrame:
 
 def _smear(s: Sample) -> DataFrame:
     base = cut_lineage(_fitted(s))
-    fitted = forecast.with_yhat(forecast.calendar_means(base, base))
+    fitted = forecast.with_yhat(forecast.calendar_means(base)(base))
     return forecast.smearing(fitted).select("series", rnd("smear", 5).alias("smear"), rnd("sigma", 5).alias("sigma"))
 

@@ -48,7 +48,7 @@ class Silver(_AsOf):
         self.bronze = bronze
         self.cities = cities if cities is not None else [c for c, *_ in CITY_COORDINATES]
         self.payment_methods = payment_methods
-        self._sessions = sessions
+        self.sessions_of = sessions
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -76,12 +76,16 @@ class Silver(_AsOf):
 
     @cached_property
     def orders(self) -> DataFrame:
-        totals = silver.order_totals(silver.priced_items(self.items, self.products))
-        return silver.silver_orders(self.clean_orders, totals, self.customers)
+        return self.orders_from(silver.priced_items(self.items, self.products))
+
+    def orders_from(self, priced: DataFrame) -> DataFrame:
+        """Orders with totals of priced items.  Written lines serve as well: an item without an
+        order, which they lack, belongs to no order here either."""
+        return silver.silver_orders(self.clean_orders, silver.order_totals(priced), self.customers)
 
     @cached_property
     def sessions(self) -> DataFrame:
-        return self._sessions(self.events)
+        return self.sessions_of(self.events)
 
 
 class Lake(_AsOf):
@@ -104,15 +108,21 @@ class Staged(_AsOf):
         if name not in LAKE_LAYOUT:
             raise AttributeError(name)
         path = f"{self._root}/{name}"
-        write_lake(getattr(self._tables, name), path)
+        # the totals come from the written lines, so items are cleaned and priced once
+        table = self._tables.orders_from(self.lines) if name == "orders" else getattr(self._tables, name)
+        write_lake(table, path)
         frame = self._spark.read.parquet(path)
         setattr(self, name, frame)
         return frame
 
 
-def write_silver(tables: Silver, root: str) -> None:
-    for name, partition in LAKE_LAYOUT.items():
-        frame = getattr(tables, name)
-        if partition and partition not in frame.columns:
-            frame = frame.withColumn(partition, month_key("order_date"))
-        write_lake(frame, f"{root}/{name}", partition)
+def write_silver(spark: SparkSession, tables: Silver, root: str) -> Lake:
+    """Writes all silver tables and returns them as read back; items are cleaned and priced once."""
+    lines = tables.lines.withColumn("order_month", month_key("order_date"))
+    write_lake(lines, f"{root}/lines", LAKE_LAYOUT["lines"])
+    write_lake(tables.orders_from(spark.read.parquet(f"{root}/lines")), f"{root}/orders", LAKE_LAYOUT["orders"])
+    for name in ("customers", "products", "events"):
+        write_lake(getattr(tables, name), f"{root}/{name}", LAKE_LAYOUT[name])
+    sessions = tables.sessions_of(spark.read.parquet(f"{root}/events"))
+    write_lake(sessions, f"{root}/sessions", LAKE_LAYOUT["sessions"])
+    return Lake(spark, root)
