@@ -39,7 +39,17 @@ def test_dedupe_is_deterministic_and_keeps_smallest(spark):
 def test_dedupe_limits_rows_before_the_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
     plan = clean.dedupe(df, ["k"])._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert "partial_min" in plan
+
+
+def test_unused_lookups_are_dropped_from_the_plan(spark):
+    from tradewind.operators import sales
+    from tradewind.plans.silver import Silver
+
+    s = Silver(_bronze(spark))
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftOuter" not in plan(sales.sales_monthly(s.orders))
+    assert "LeftOuter" in plan(sales.sales_by_state(s.orders))
 
 
 def _bronze(spark):

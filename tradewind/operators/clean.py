@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions.exprs import flag
@@ -40,12 +40,19 @@ def canonicalise(df: DataFrame, column: str, vocabulary: DataFrame) -> DataFrame
 
 
 def dedupe(df: DataFrame, key: list[str]) -> DataFrame:
-    """One row per key: the smallest by all remaining columns, so the survivor never depends on
-    the partitioning.  Each map task first keeps one row per key, so a key with a third of all
-    rows shuffles no more than any other."""
+    """One row per key: the smallest by all remaining columns (nulls first), so the survivor never
+    depends on the partitioning.
+
+    A minimum is combined map-side, so a key with a third of all rows shuffles no more than any
+    other.  Grouping also tells the optimizer that the key is unique: a later left join that only
+    looks something up is dropped from queries that do not use the looked-up columns.
+    """
     rest = [c for c in df.columns if c not in key]
-    first = Window.partitionBy(*key).orderBy(*[F.col(c).asc_nulls_first() for c in rest])
-    return df.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").drop("_rn")
+    if not rest:
+        return df.groupBy(*key).agg(F.lit(1).alias("_one")).drop("_one")
+    smallest = F.min(F.struct(*rest)).alias("_row")
+    return df.groupBy(*key).agg(smallest).select(
+        *[F.col(c) if c in key else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
 def fill_defaults(df: DataFrame, defaults: dict) -> DataFrame:

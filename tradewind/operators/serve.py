@@ -10,6 +10,7 @@ from tradewind.functions.exprs import money_sum, pct, ratio, rnd
 from tradewind.operators.ranking import top_n, unpivot, upper_medians
 from tradewind.operators.segment import segment_actions
 
+# Permitted sort columns and the column names of the exported campaign list.
 PRODUCT_SORTS = {"revenue", "units", "avg_rating", "return_rate", "views", "view_to_buy_pct", "profit", "list_price"}
 CHURN_SORTS = {"clv_12m", "churn_probability", "total_spent", "recency_days"}
 WINBACK_COLUMNS = {
