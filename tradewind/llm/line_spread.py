@@ -27,7 +27,7 @@ def lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", site: str
     """doc_id, text_hash, site, pos and line hash h of every line with a word."""
     body = F.col(text).cast("string")
     cut = docs.select(
-        F.col(doc_id).alias("doc_id"), F.coalesce(F.col(site).cast("string"), F.lit("")).alias("site"),
+        F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(site)).alias("site"),  # sketches skip empty strings
         F.xxhash64(body).alias("text_hash"), F.posexplode(F.split(body, "\n", -1)).alias("pos", "line"))
     return cut.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select(
         "doc_id", "text_hash", "site", "pos", F.xxhash64("line").alias("h"))
