@@ -92,9 +92,14 @@ def shard(docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id", text: s
     # records of one text go by the middle of their group, unless it is large
     groups = ranked.groupBy("h").agg(
         F.min("before").alias("group_start"), F.sum("size").alias("group_bytes"), F.count("*").alias("copies"))
-    together = groups.where((F.col("copies") > 1) & (F.col("group_bytes") <= whole_share * total / shards)).drop("copies")
+    whole = F.col("group_bytes") <= whole_share * total / shards
+    # at most shards / whole_share texts are larger; their records are dealt out, as they need no partner
+    large = groups.where(~whole).select("h", F.lit(True).alias("large"))
+    together = groups.where((F.col("copies") > 1) & whole).drop("copies").withColumn("deal", F.lit(0).cast("bigint"))
+    dealt = ranked.join(F.broadcast(large), "h", "left").withColumn(
+        "deal", F.when(F.col("large"), 1 + F.pmod("d", F.lit(1 << 20))).otherwise(0)).drop("large")
     middle = F.coalesce(F.col("group_start") + F.col("group_bytes") / 2, F.col("before") + F.col("size") / 2)
-    sharded = ranked.join(together, "h", "left").withColumn(
+    sharded = dealt.join(together, ["h", "deal"], "left").withColumn(
         "shard", F.least(F.lit(shards - 1), F.floor(middle * shards / total)).cast("int")).drop("group_start", "group_bytes")
     # slots: records are numbered within (shard, range); the ranges' first slots are bounded running sums
     parts = sharded.groupBy("shard", "r").agg(F.count("*").alias("n"))
