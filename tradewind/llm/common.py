@@ -31,12 +31,14 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def row_function(spark: SparkSession, make: Callable[[], Callable], returns: str) -> Callable[..., Column]:
+def row_function(
+    spark: SparkSession, make: Callable[[], Callable], returns: str, rows: int | None = 1024,
+) -> Callable[..., Column]:
     """A column function over Arrow batches.
 
     `make()` runs once per task on the executor and gives a function of one list per argument that
     returns a list of values.  Only the arguments travel to Python; every other column stays in the
-    JVM.  It counts as nondeterministic, which keeps the optimizer from evaluating it twice.
+    JVM.  At most `rows` rows of a batch (None: all) are Python values at a time.  It counts as nondeterministic, which keeps the optimizer from evaluating it twice.
     """
     ship(spark)
     kind = to_arrow_type(F.udf(lambda: None, returns).returnType)
@@ -45,7 +47,10 @@ def row_function(spark: SparkSession, make: Callable[[], Callable], returns: str
         work = make()
         for batch in batches:
             columns = batch if isinstance(batch, tuple) else (batch,)
-            yield pa.array(work(*(c.to_pylist() for c in columns)), kind)
+            size = len(columns[0])
+            step = rows or max(size, 1)
+            done = [pa.array(work(*(c.slice(i, step).to_pylist() for c in columns)), kind) for i in range(0, size, step)]
+            yield pa.concat_arrays(done) if done else pa.array([], kind)
 
     def one(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         return run(batches)

@@ -2,9 +2,9 @@
 
 A text is normalised as the model's identity normaliser does (a space in front, spaces as U+2581) and cut
 where a space follows a word: no piece of such a vocabulary goes over that boundary, so the parts are
-independent.  A part is a chain of symbols; an agenda (heap) holds the candidate merges by rank and place.
-A candidate taken from it is skipped if a keyed hash of (seed, variant, part, place, merged piece) falls under
-the dropout rate.  `variant` is one of `variants`, chosen by a keyed hash of the document's key, so one text
+independent.  A part is cut further where no piece has its two neighbouring symbols side by side.  What remains is a chain of
+symbols; an agenda holds its candidate merges by rank and place.  A candidate taken from it is skipped if a
+keyed hash of (seed, variant, chain, place, lengths) falls under the dropout rate.  `variant` is one of `variants`, chosen by a keyed hash of the document's key, so one text
 gets several segmentations over a corpus while every rerun gives the same one, and parts can be remembered.
 With dropout 0 the result is the library's own.  Symbols outside the vocabulary become byte pieces.
 
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import struct
 import zlib
 from functools import lru_cache
 
@@ -28,7 +29,8 @@ from tradewind.llm.common import row_function
 DROPOUT = 0.1
 VARIANTS = 4
 SEED = 17
-REMEMBERED = 200_000  # parts kept per worker
+REMEMBERED = 400_000  # parts, and chains, kept per worker
+SHORT = 64  # symbols up to which a list serves as agenda
 LONGEST_REMEMBERED = 48
 PACKED = "struct<n_pieces:bigint,ids:binary>"
 SPACE = "▁"
@@ -73,26 +75,83 @@ class Pieces:
                 self.id_of[piece] = i
                 self.rank[piece] = -sp.get_score(i)
                 self.bytes_of.append(piece.replace(SPACE, " ").encode())
+        # remembered: the first parts and chains that come, so the frequent ones are among them
         self.memory: list[dict[str, bytes]] = [{} for _ in range(variants)]
+        self.chains: list[dict[str, bytes]] = [{} for _ in range(variants)]
+        self.joined = {p[i : i + 2] for p in self.id_of for i in range(len(p) - 1)}
 
     def variant(self, key) -> int:
         return _keyed(self.seed, zlib.crc32(str(key).encode())) % self.variants
 
+    def cut(self, part: str) -> list[str]:
+        """The part cut wherever no piece of the vocabulary has its two neighbouring symbols side by side."""
+        joined = self.joined
+        ends = [i for i in range(1, len(part)) if part[i - 1 : i + 1] not in joined]
+        return [part[a:b] for a, b in zip([0, *ends], [*ends, len(part)])]
+
     def part(self, part: str, variant: int) -> bytes:
         """Ids of one part as little-endian 32-bit integers."""
-        symbols: list[str | None] = list(part)
+        memory = self.chains[variant]
+        out = []
+        for chain in self.cut(part):
+            ids = memory.get(chain)
+            if ids is None:
+                ids = self.chain(chain, variant)
+                if len(chain) <= LONGEST_REMEMBERED and len(memory) * self.variants < REMEMBERED:
+                    memory[chain] = ids
+            out.append(ids)
+        return b"".join(out)
+
+    def chain(self, chain: str, variant: int) -> bytes:
+        symbols = list(chain)
+        if len(symbols) > 1:
+            key = _keyed(self.seed * 1_000_003 + variant, zlib.crc32(chain.encode("utf-8", "surrogatepass")))
+            symbols = self._short(symbols, key) if len(symbols) <= SHORT else self._long(symbols, key)
+        ids: list[int] = []
+        for s in symbols:
+            i = self.id_of.get(s)
+            if i is not None:
+                ids.append(i)
+            else:
+                ids += [self.byte_id[b] for b in s.encode()]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _skipped(self, key: int, left: str, right: str, at: int) -> bool:
+        return bool(self.limit) and _keyed(key, (at << 20) + (len(left) << 10) + len(right)) < self.limit
+
+    def _short(self, symbols: list[str], key: int) -> list[str]:
+        """The agenda as a list by place: the best rank is its minimum, the leftmost one comes first."""
+        rank, none = self.rank.get, float("inf")
+        start = list(range(len(symbols)))
+        agenda = [rank(a + b, none) for a, b in zip(symbols, symbols[1:])]
+        while agenda:
+            best = min(agenda)
+            if best == none:
+                break
+            i = agenda.index(best)
+            if self._skipped(key, symbols[i], symbols[i + 1], start[i]):
+                agenda[i] = none
+                continue
+            symbols[i] += symbols.pop(i + 1)
+            del agenda[i], start[i + 1]
+            if i:
+                agenda[i - 1] = rank(symbols[i - 1] + symbols[i], none)
+            if i < len(agenda):
+                agenda[i] = rank(symbols[i] + symbols[i + 1], none)
+        return symbols
+
+    def _long(self, symbols: list[str | None], key: int) -> list[str]:
+        """The agenda as a heap over linked symbols; the same merges in the same order."""
         size = len(symbols)
         after = list(range(1, size + 1))
         before = list(range(-1, size - 1))
-        rank, limit = self.rank, self.limit
-        key = _keyed(self.seed * 1_000_003 + variant, zlib.crc32(part.encode()))
         agenda: list[tuple[float, int, str, int]] = []
 
         def offer(i: int) -> None:
             j = after[i]
             if j < size:
                 merged = symbols[i] + symbols[j]
-                r = rank.get(merged)
+                r = self.rank.get(merged)
                 if r is not None:
                     heapq.heappush(agenda, (r, i, merged, j))
 
@@ -102,7 +161,7 @@ class Pieces:
             _, i, merged, j = heapq.heappop(agenda)
             if symbols[i] is None or after[i] != j or symbols[j] is None or len(symbols[i]) + len(symbols[j]) != len(merged):
                 continue  # what it would merge is merged otherwise by now
-            if limit and _keyed(key, (i << 24) ^ len(merged)) < limit:
+            if self._skipped(key, symbols[i], symbols[j], i):
                 continue
             symbols[i], symbols[j] = merged, None
             after[i] = after[j]
@@ -111,15 +170,7 @@ class Pieces:
             if before[i] >= 0:
                 offer(before[i])
             offer(i)
-        ids: list[int] = []
-        for s in symbols:
-            if s is not None:
-                i = self.id_of.get(s)
-                if i is not None:
-                    ids.append(i)
-                else:
-                    ids += [self.byte_id[b] for b in s.encode()]
-        return np.array(ids, "<u4").tobytes()
+        return [s for s in symbols if s is not None]
 
     def encode(self, text: str | None, key=None) -> bytes:
         if not text:
@@ -137,9 +188,8 @@ class Pieces:
             if ids is None:
                 ids = self.part(p, variant)
                 if len(p) <= LONGEST_REMEMBERED:
-                    if len(memory) * self.variants >= REMEMBERED:
-                        memory.clear()
-                    memory[p] = ids
+                    if len(memory) * self.variants < REMEMBERED:
+                        memory[p] = ids
             out.append(ids)
         return b"".join(out)
 

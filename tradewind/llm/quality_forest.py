@@ -153,9 +153,12 @@ def grow(rows: np.ndarray, trees: int, sample: int, seed: int = 5) -> Forest:
 
 def fit(stats: DataFrame, rules: str = "rules", trees: int = TREES, sample: int = SAMPLE) -> Forest | None:
     """Grown on the trees x sample rows whose statistics hash lowest: a bounded random sample."""
-    picked = stats.select(F.col(f"{rules}.features").alias("f")).where(F.size("f") > 0).select(
-        "f", F.xxhash64("f", F.lit(11)).alias("u"), F.monotonically_increasing_id().alias("i"))
-    rows = picked.orderBy("u", "i").limit(trees * sample).select("f").collect()
+    wanted = trees * sample
+    u = F.pmod(F.xxhash64("f", F.lit(11), F.monotonically_increasing_id()), F.lit(1 << 40))
+    picked = stats.select(F.col(f"{rules}.features").alias("f")).select("f", u.alias("u"))
+    # twice as many as wanted get this far, so that no task sends much of its own to the driver
+    share = min(1.0, 2 * wanted / max(stats.count(), 1))
+    rows = picked.where(F.col("u") <= int(share * (1 << 40))).orderBy("u").limit(wanted).select("f").collect()
     return grow(np.array([r.f for r in rows]), trees, sample) if rows else None
 
 

@@ -209,7 +209,7 @@ def matches(
     for k, items in enumerate(_blocks(benchmark, item_id, item_text, block_bytes)):
         bench = spark.sparkContext.broadcast(Benchmark(items, window))
         names.append(fresh(out, f"_block{k}"))
-        out = out.withColumn(names[-1], row_function(spark, _make_search(bench), HITS)(utf8(F.col(text))))
+        out = out.withColumn(names[-1], row_function(spark, _make_search(bench), HITS, rows=None)(utf8(F.col(text))))
     spans = F.array_sort(F.concat(*[F.col(n)["spans"] for n in names]))
     zero = F.struct(F.lit(0).cast("bigint").alias("end"), F.lit(0).cast("bigint").alias("n"))
     union = F.aggregate(
