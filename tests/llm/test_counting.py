@@ -115,3 +115,10 @@ def test_dropout_varies_but_repeats(spark, awkward, nothing):
     assert piece_dropout.encode(nothing).count() == 0
     out = piece_dropout.encode(awkward)
     assert out.count() == awkward.count() and out.where("text is null and encoded.n_pieces = 0").count() == 1
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="the ioninga", min_size=2, max_size=30), st.integers(0, 3))
+def test_both_agendas_merge_alike(text, key):
+    own = piece_dropout.pieces(piece_dropout.default_model(), 0.2, 3, 5)
+    assert own._short(list(text), key) == own._long(list(text), key)
