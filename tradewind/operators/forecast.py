@@ -48,7 +48,9 @@ def daily_series(orders: DataFrame, lines: DataFrame, as_of: Column) -> DataFram
 def fill_days(daily: DataFrame, first: Column, last: Column, defaults: dict) -> DataFrame:
     """Gives every series one row per day in [first, last]: each series unwinds its own date range."""
     spine = daily.select("series").distinct().withColumn("date", F.explode(F.sequence(first, last)))
-    return spine.join(daily, ["series", "date"], "left").select(
+    known = daily.withColumnsRenamed({"series": "_series", "date": "_date"})
+    same = F.col("series").eqNullSafe(F.col("_series")) & (F.col("date") == F.col("_date"))
+    return spine.join(known, same, "left").select(
         "series", "date", *[F.coalesce(c, F.lit(v)).alias(c) for c, v in defaults.items()])
 
 

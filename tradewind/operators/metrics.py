@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.functions.exprs import dbl, flag, ratio, rnd
+from tradewind.operators.ranking import running_total
 
 ROC_POINTS = 41
-SCORE_DIGITS = 4
 
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -19,26 +19,25 @@ def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction
 
 
 def _score_distribution(df: DataFrame, score: str, label: str) -> DataFrame:
-    """Positives and negatives per score, rounded to 4 digits: at most 10,001 rows for
-    probabilities, whatever the table; the windows over it are small."""
-    return df.groupBy(rnd(score, SCORE_DIGITS).alias("s")).agg(
+    """Positives and negatives per score, and of all higher scores; no task sees more than a range of scores."""
+    hist = df.groupBy(F.col(score).cast("double").alias("s")).agg(
         F.sum(flag(F.col(label) == 1)).alias("pos"), F.sum(flag(F.col(label) != 1)).alias("neg"))
+    placed = running_total(hist, [F.desc("s")], "pos", "tp_before")
+    return running_total(placed, [F.desc("s")], "neg", "fp_before")
 
 
 def area_under_curves(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """auc_roc by the rank-sum formula (ties count half) and auc_pr by trapezoids."""
-    down = Window.orderBy(F.desc("s"))
-    upto = down.rowsBetween(Window.unboundedPreceding, 0)
-    everything = Window.partitionBy()
-    pts = _score_distribution(df, score, label).select(
-        "s", "pos", "neg", F.sum("pos").over(upto).alias("tp"), F.sum("neg").over(upto).alias("fp"),
-        F.sum("pos").over(everything).alias("p"), F.sum("neg").over(everything).alias("n"))
+    """auc_roc by the rank-sum formula (ties count half) and auc_pr by trapezoids, exact for any scores."""
+    pts = _score_distribution(df, score, label).withColumns({
+        "tp": F.col("tp_before") + F.col("pos"), "fp": F.col("fp_before") + F.col("neg")})
     pts = pts.withColumn("precision", ratio("tp", F.col("tp") + F.col("fp")))
-    pts = pts.withColumn("before", F.coalesce(F.lag("precision").over(down), F.col("precision")))
-    below = F.col("n") - F.col("fp")   # negatives that score lower
+    higher = F.col("tp_before") + F.col("fp_before")
+    before = F.when(higher > 0, ratio("tp_before", higher)).otherwise(F.col("precision"))
+    # pairs of a positive and a lower negative: all pairs less those with a negative above or beside it
+    above = F.col("fp_before") + F.col("neg") / 2
     return pts.agg(
-        ratio(F.sum(F.col("pos") * (below + F.col("neg") / 2)), F.max(dbl("p") * F.col("n"))).alias("auc"),
-        ratio(F.sum(F.col("pos") * (F.col("precision") + F.col("before")) / 2), F.max("p")).alias("auc_pr"))
+        ratio(F.sum("pos") * F.sum("neg") - F.sum(F.col("pos") * above), F.sum("pos") * dbl(F.sum("neg"))).alias("auc"),
+        ratio(F.sum(F.col("pos") * (F.col("precision") + before) / 2), F.sum("pos")).alias("auc_pr"))
 
 
 def binary_metrics(df: DataFrame, score: str = "score", label: str = "label", threshold: float = 0.5) -> DataFrame:

@@ -7,6 +7,9 @@ so their prefix sum is small whatever the data.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,8 +80,10 @@ def distribution(df: DataFrame, group: list[str], value: str) -> DataFrame:
     if not group:
         total = placed.agg(F.sum("n").alias("total")).scalar()
         return placed.select(value, "n", F.col("_all_before").alias("before"), total.alias("total"))
-    starts = placed.groupBy(*group).agg(F.min("_all_before").alias("_start"), F.sum("n").alias("total"))
-    return placed.join(starts, group).select(
+    starts = placed.groupBy(*[F.col(c).alias(f"_group_{c}") for c in group]).agg(
+        F.min("_all_before").alias("_start"), F.sum("n").alias("total"))
+    same = reduce(and_, [placed[c].eqNullSafe(starts[f"_group_{c}"]) for c in group])
+    return placed.join(starts, same).select(
         *group, value, "n", (F.col("_all_before") - F.col("_start")).alias("before"), "total")
 
 
@@ -107,15 +112,17 @@ def upper_medians(df: DataFrame, group: list[str], value: str) -> DataFrame:
 
 
 def rank_desc_within(df: DataFrame, group: str, value: str, out: str) -> DataFrame:
-    """Competition rank by value descending inside each group; ties share a rank.
+    """Competition rank by value descending inside each group; ties share a rank.  A null group is a group; a null
+    value has no rank, and its row stays.
 
     Equal values are one row of the distribution, so neither a big group nor a big tie is sorted
     in one task.
     """
     rows = cut_lineage(df)
     ranks = distribution(rows, [group], value).select(
-        group, value, (F.col("total") - F.col("before") - F.col("n") + 1).cast("int").alias(out))
-    return rows.join(ranks, [group, value]).select(*df.columns, out)
+        F.col(group).alias("_group"), F.col(value).alias("_value"), (F.col("total") - F.col("before") - F.col("n") + 1).cast("int").alias(out))
+    same = F.col(group).eqNullSafe(F.col("_group")) & (F.col(value) == F.col("_value"))
+    return rows.join(ranks, same, "left").select(*df.columns, out)
 
 
 def unpivot(df: DataFrame, keys: list[str], columns: list[str], name: str = "feature", value: str = "value") -> DataFrame:

@@ -75,7 +75,7 @@ def search_products(
         found = found.filter(F.contains(F.lower("product_name"), F.lit(text.lower())))
     total = found.agg(F.count("*").alias("n")).scalar()
     page = found.orderBy(_ordered(sort if sort in PRODUCT_SORTS else "revenue", descending), "product_id")
-    return page.offset(skip).limit(min(limit, 200)).withColumn("total", total)
+    return page.offset(skip).limit(limit).withColumn("total", total)
 
 
 def product_details(stats: DataFrame, similar: DataFrame, together: DataFrame) -> DataFrame:
@@ -96,7 +96,7 @@ def product_details(stats: DataFrame, similar: DataFrame, together: DataFrame) -
 
 
 def churn_customers(
-    profiles: DataFrame, risk: str | None = "High", segment: str | None = None, sort: str = "clv_12m", limit: int = 50,
+    profiles: DataFrame, risk: str | None = "High", segment: str | None = None, sort: str = "clv_12m", limit: int | None = None,
 ) -> DataFrame:
     found = profiles.filter(F.col("churn_probability").isNotNull())
     if risk and risk != "All":
@@ -104,10 +104,11 @@ def churn_customers(
     if segment:
         found = found.filter(F.col("segment") == segment)
     by = sort if sort in CHURN_SORTS else "clv_12m"
-    return found.orderBy(F.desc_nulls_last(by), "customer_id").limit(min(limit, 1000))
+    ordered = found.orderBy(F.desc_nulls_last(by), "customer_id")
+    return ordered if limit is None else ordered.limit(limit)
 
 
-def winback_export(profiles: DataFrame, risk: str = "High", segment: str | None = None, limit: int = 1000) -> DataFrame:
+def winback_export(profiles: DataFrame, risk: str = "High", segment: str | None = None, limit: int | None = None) -> DataFrame:
     """The campaign list under its 12 published column names; write it with sinks.write_csv."""
     rows = churn_customers(profiles, risk, segment, "clv_12m", limit)
     return rows.select(*[F.col(c).alias(n) for c, n in WINBACK_COLUMNS.items()])

@@ -544,6 +544,8 @@ ORACLE = {
     "daily_anomalies": sql("SELECT * FROM danom", *ANOMALIES),
     "high_value_orders": sql("SELECT * FROM high", HIGH),
     "return_abuse": sql("SELECT * FROM abuse", ABUSE),
+    "high_value_all": sql("SELECT * FROM high", HIGH.replace(" LIMIT 40", "")),
+    "return_abuse_all": sql("SELECT * FROM abuse", ABUSE.replace(" LIMIT 40", "")),
     "anomaly_validation": sql(f"""SELECT count(*) AS planted, {cnt('d IN (SELECT date FROM danom)')} AS detected,
         {rnd(ratio(cnt('d IN (SELECT date FROM danom)'), 'count(*)'), 2)} AS recall,
         (SELECT count(DISTINCT date) FROM danom) AS flagged_days FROM truth""", *ANOMALIES,

@@ -42,7 +42,7 @@ STAGED = {
     "ranking_metrics", "recommendation_documents", "als_recommendations", "als_similar_products", "anomaly_list",
     "anomaly_validation", "forecast_window", "forecast_forest", "forecast_evaluation", "forecast_intervals",
     "forecast_metrics", "baseline_calendar_regression", "baseline_seasonal_naive", "baseline_moving_average",
-    "trend_fit", "seasonal_effects", "smearing", "daily_anomalies", "rfm_scores", "scaled_features", "win_ntile", "high_value_orders",
+    "trend_fit", "high_value_all", "seasonal_effects", "smearing", "daily_anomalies", "rfm_scores", "scaled_features", "win_ntile", "high_value_orders",
 }
 
 
@@ -126,7 +126,7 @@ def _day_anomalies(s: Sample) -> DataFrame:
 def _feed(s: Sample) -> DataFrame:
     orders = s.orders
     return anomaly.anomaly_feed(
-        _day_anomalies(s), anomaly.high_value_orders(orders, IQR_MULTIPLIER), anomaly.return_abuse(orders))
+        _day_anomalies(s), anomaly.high_value_orders(orders, IQR_MULTIPLIER, 40), anomaly.return_abuse(orders, n=40))
 
 
 def _truth(s: Sample) -> DataFrame:
@@ -274,7 +274,7 @@ def _normalised(s: Sample) -> DataFrame:
 
 def _winback(s: Sample) -> DataFrame:
     path = scratch_path(s.spark, "winback")
-    export = serve.winback_export(s.scored_profiles)
+    export = serve.winback_export(s.scored_profiles, limit=1000)
     sinks.write_csv(export, path)
     return s.spark.read.option("header", True).schema(export.schema).csv(path)
 
@@ -309,7 +309,7 @@ QUERIES = {
     "segment_customers": lambda s: segment.segment_customers(s.scored_profiles, "Champions").select(
         "customer_id", "full_name", "total_spent"),
     "churn_by_segment": lambda s: churn.churn_by_segment(s.scored_profiles),
-    "churn_customers": lambda s: serve.churn_customers(s.scored_profiles).select(
+    "churn_customers": lambda s: serve.churn_customers(s.scored_profiles, limit=50).select(
         "customer_id", "full_name", "segment", "churn_probability", "churn_risk", "clv_12m", "total_spent"),
     "feature_medians": lambda s: serve.feature_medians(s.current_features, CHURN_NUMERIC).select(
         "feature", rnd("median", 4).alias("median")),
@@ -391,10 +391,12 @@ QUERIES = {
     "forecast_forest": lambda s: forecast.forecast_intervals(_days(s), forecast.random_forest()),
     "forecast_evaluation": _forest_evaluation,
     "daily_anomalies": _day_anomalies,
-    "high_value_orders": lambda s: anomaly.high_value_orders(s.orders, IQR_MULTIPLIER),
-    "return_abuse": lambda s: anomaly.return_abuse(s.orders),
+    "high_value_orders": lambda s: anomaly.high_value_orders(s.orders, IQR_MULTIPLIER, 40),
+    "high_value_all": lambda s: anomaly.high_value_orders(s.orders, IQR_MULTIPLIER),
+    "return_abuse": lambda s: anomaly.return_abuse(s.orders, n=40),
+    "return_abuse_all": lambda s: anomaly.return_abuse(s.orders),
     "anomaly_validation": lambda s: anomaly.validate(_day_anomalies(s), _truth(s)),
-    "anomaly_list": lambda s: anomaly.anomaly_list(_feed(s)),
+    "anomaly_list": lambda s: anomaly.anomaly_list(_feed(s), n=200),
     "latest_model_metrics": _churn_registry,
     # ------------------------------------------------------------------ window primitives
     "win_first_month": lambda s: s.orders.groupBy("customer_id").agg(F.min("order_month").alias("first_month")),

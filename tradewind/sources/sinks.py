@@ -84,11 +84,14 @@ def foreach_document_batch(
     to_documents(df, id_col).foreachPartition(push)
 
 
-def merge_upsert(target: DataFrame, updates: DataFrame, key: str, insert: bool = True) -> DataFrame:
+def merge_upsert(target: DataFrame, updates: DataFrame, key: str, insert: bool = True, order: str | None = None) -> DataFrame:
     """Sets the updates' non-null fields on matching rows; unmatched updates are inserted
-    (`insert=True`, full outer join) or ignored (`insert=False`, left join)."""
+    (`insert=True`, full outer join) or ignored (`insert=False`, left join).  Of several updates to a
+    key the one with the greatest `order` counts; without it, the one whose JSON form is greatest."""
     fresh = [c for c in updates.columns if c != key]
-    renamed = updates.select(key, *[F.col(c).alias(f"_new_{c}") for c in fresh])
+    fields = F.struct(*[F.col(c) for c in fresh])
+    renamed = updates.groupBy(key).agg(F.max_by(fields, F.col(order) if order else F.to_json(fields)).alias("_new")).select(
+        key, *[F.col(f"_new.{c}").alias(f"_new_{c}") for c in fresh])
     joined = target.join(renamed, key, "full" if insert else "left")
     out = [
         F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c) if c in fresh else F.col(c) for c in target.columns
