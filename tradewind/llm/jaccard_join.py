@@ -39,7 +39,8 @@ BLOCK = 1_024
 HUB_GROUP = 512
 FILTER_BITS = 1 << 25  # bound of the filter that finds the texts of candidates: 4 MB
 REMEMBERED = 300_000
-SETS = "struct<n:bigint,node:bigint,bitmap:binary,prefix:array<bigint>>"
+SETS = "struct<n:bigint,node:bigint,bitmap:binary,small:binary,prefix:array<bigint>>"
+SMALL = 8  # 64-bit words of the bitmap that goes into blocks; what it lets through meets the whole one
 
 _FOLD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
 
@@ -107,9 +108,10 @@ def _make_sets(words: int, num: int, den: int, hot):
         def one(text):
             h = shingles(text, words)
             if not len(h):
-                return {"n": 0, "node": None, "bitmap": None, "prefix": []}
+                return {"n": 0, "node": None, "bitmap": None, "small": None, "prefix": []}
             node = int(mix64(np.array([(h * _FOLD[1]).sum() ^ np.bitwise_xor.reduce(mix64(h))], np.uint64)).view(np.int64)[0])
-            return {"n": len(h), "node": node, "bitmap": bitmap(h).tobytes(),
+            bits = bitmap(h)
+            return {"n": len(h), "node": node, "bitmap": bits.tobytes(), "small": folded(bits, SMALL).tobytes(),
                     "prefix": _prefix(h, known, num, den).view(np.int64)}
 
         return lambda texts: [one(t) for t in texts]
@@ -180,7 +182,7 @@ class _Search:
 
     def __init__(self, docs: DataFrame, sets: DataFrame, words: int, num: int, den: int) -> None:
         self.spark, self.words, self.num, self.den = docs.sparkSession, words, num, den
-        self.nodes = sets.where("n > 0").select("node", "n", "bitmap")
+        self.nodes = sets.where("n > 0").select("node", "n", "bitmap", "small")
         keys = sets.where("n > 0").select("node", F.explode("prefix").alias("key"))
         tiles = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
         # only tiles of two nodes or more go on
@@ -189,7 +191,7 @@ class _Search:
         owners = sets.groupBy("node").agg(F.min("row").alias("row")).join(needed, "node", "left_semi")
         self.texts = staged(self._texts(docs, owners), "candidate-texts")
         self.bitmaps = staged(
-            self.nodes.join(needed, "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("bitmap").alias("bitmap")),
+            self.nodes.join(needed, "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("bitmap").alias("bitmap"), F.first("small").alias("small")),
             "bitmaps")
 
     def _texts(self, docs: DataFrame, owners: DataFrame) -> DataFrame:
@@ -286,7 +288,7 @@ class _Search:
         """All pairs of nodes of one tile but different components that sizes and bitmaps allow."""
         members = self._labelled(comps)
         mixed = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("many")).where("lo < hi")
-        rows = members.join(mixed.select("key", "many"), "key").join(self.bitmaps, "node")
+        rows = members.join(mixed.select("key", "many"), "key").join(self.bitmaps.select("node", "n", F.col("small").alias("bitmap")), "node")
         blocks = F.ceil(F.col("many") / BLOCK).cast("int")
         own = F.pmod(F.xxhash64("node"), blocks).cast("int")
         # every block meets every block of its tile: row (lower block, higher block)
