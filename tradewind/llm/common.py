@@ -18,8 +18,14 @@ PACKAGE = Path(__file__).resolve().parent.parent
 _shipped: set[str] = set()
 
 
+BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors once per application, so that their Python workers can import it."""
+    """Sends this package to the executors once per application, so that their Python workers can import it, and
+    lowers the session's bound of Arrow batches to BATCH_BYTES: a worker holds a few of them at a time."""
+    if int(spark.conf.get(BATCH_KEY).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(BATCH_KEY, str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
