@@ -47,10 +47,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every text; `lossless` says that they decode to the text again."""
-    coded = piece_dropout.decode(piece_dropout.encode(docs.select("doc_id", "source", "lang", "text")), F.col("encoded.ids"))
-    same = F.col("decoded") == F.replace(F.coalesce("text", F.lit("")), F.lit(piece_dropout.SPACE), F.lit(" "))
-    return coded.select(
-        "doc_id", "source", "lang", F.col("encoded.n_pieces").alias("n_pieces"), F.col("encoded.ids").alias("ids"), same.alias("lossless"))
+    coded = piece_dropout.encode(docs.select("doc_id", "source", "lang", "text"))
+    return coded.select("doc_id", "source", "lang", "encoded.n_pieces", "encoded.ids", "encoded.lossless")
 
 
 STAGES = [

@@ -113,6 +113,8 @@ def test_dropout_varies_but_repeats(spark, awkward, nothing):
     assert one == two and len(set(one.values())) > 1
     assert all(len(v) > 4 * len(SP.encode(text)) for v in one.values())
     assert piece_dropout.encode(nothing).count() == 0
+    back = piece_dropout.decode(piece_dropout.encode(frame), "encoded.ids").select("encoded.lossless", "decoded").distinct().collect()
+    assert [(r.lossless, r.decoded) for r in back] == [(True, text)]
     out = piece_dropout.encode(awkward)
     assert out.count() == awkward.count() and out.where("text is null and encoded.n_pieces = 0").count() == 1
 

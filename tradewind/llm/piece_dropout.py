@@ -32,7 +32,7 @@ SEED = 17
 REMEMBERED = 400_000  # parts, and chains, kept per worker
 SHORT = 64  # symbols up to which a list serves as agenda
 LONGEST_REMEMBERED = 48
-PACKED = "struct<n_pieces:bigint,ids:binary>"
+PACKED = "struct<n_pieces:bigint,ids:binary,lossless:boolean>"
 SPACE = "▁"
 _PARTS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 _MASK = (1 << 64) - 1
@@ -209,7 +209,7 @@ def encode(
     docs: DataFrame, text: str = "text", key: str = "doc_id", into: str = "encoded", model: str | None = None,
     dropout: float = DROPOUT, variants: int = VARIANTS, seed: int = SEED,
 ) -> DataFrame:
-    """`docs` with `into`: n_pieces and ids (little-endian unsigned 32-bit integers)."""
+    """`docs` with `into`: n_pieces, ids (little-endian unsigned 32-bit integers), and whether they decode to the text."""
     model = model or default_model()
 
     def make():
@@ -217,7 +217,9 @@ def encode(
 
         def work(texts, keys):
             done = [own.encode(t, k) for t, k in zip(texts, keys)]
-            return [{"n_pieces": len(b) // 4, "ids": b} for b in done]
+            return [
+                {"n_pieces": len(b) // 4, "ids": b, "lossless": own.decode(b) == (t or "").replace(SPACE, " ").encode("utf-8", "replace")}
+                for b, t in zip(done, texts)]
 
         return work
 
