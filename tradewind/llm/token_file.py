@@ -1,6 +1,7 @@
 """Token ids as binary files: frequency-ranked, byte-aligned, with control bytes apart from the data.
 
-The frequency of every id over the whole corpus ranks the ids, so frequent ones have small numbers.  A rank
+Texts are tokenised once; their ids are staged, and what follows reads those.  The frequency of every id over
+the whole corpus ranks the ids, so frequent ones have small numbers.  A rank
 takes one to four bytes; one control byte holds the lengths of four ranks (two bits each).  Control bytes and
 data bytes are separate streams, which lets numpy decode both by table lookup without a loop over ids.
 
@@ -12,8 +13,8 @@ File (all integers little-endian), one per range of doc_id:
 `ranks.bin` beside them: u32 id of every rank.
 
 Files are written under another name and moved into place when complete, so a task that runs twice leaves
-one whole file with the same content.  Documents are in ascending doc_id order over the files (null first,
-equal ids by text).  Null texts count as empty; every document ends with `end_id`, so none has no ids.
+one whole file with the same content.  Documents are in ascending doc_id order over the files (null first;
+equal ones by the first HEAD characters of their texts, then by their ids' bytes).  Null texts count as empty; every document ends with `end_id`, so none has no ids.
 """
 
 from __future__ import annotations
@@ -32,10 +33,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm import byte_bpe
-from tradewind.llm.common import ship
+from tradewind.llm.common import row_function, ship, staged
 
 MAGIC = b"TWID0001"
 BLOCK_IDS = 1 << 20
+HEAD = 64  # characters of a text that order documents of the same doc_id, ahead of its ids
 _HEAD = struct.Struct("<IQQQ")
 MANIFEST = "part int, path string, n_docs bigint, n_ids bigint"
 
@@ -96,20 +98,35 @@ def _write_block(f, doc_ids: list, parts: list[np.ndarray], rank_of_id: np.ndarr
     f.write(data)
 
 
-def _id_counts(docs: DataFrame, path: str, end_id: int) -> np.ndarray:
+def _coded(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, head (the text's first HEAD characters) and packed ids of every row; each text is tokenised here, once."""
+    def make():
+        own = byte_bpe.words(path)
+        kind = _packed_as(own.size)
+        return lambda texts: [np.frombuffer(own.ids(t or ""), "<u4").astype(kind).tobytes() for t in texts]
+
+    packed = row_function(docs.sparkSession, make, "binary")(F.col("text"))
+    return docs.select("doc_id", F.substring("text", 1, HEAD).alias("head"), packed.alias("packed"))
+
+
+def _packed_as(size: int) -> str:
+    """The integers that ids of a vocabulary of this size are kept as between tokenising and writing."""
+    return "<u2" if size <= 1 << 16 else "<u4"
+
+
+def _id_counts(coded: DataFrame, size: int, end_id: int) -> np.ndarray:
     """How often the corpus has each id; as many numbers as the vocabulary has entries."""
     def count(batches):
-        own = byte_bpe.words(path)
-        total = np.zeros(own.size, np.int64)
+        total = np.zeros(size, np.int64)
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                total += np.bincount(np.frombuffer(own.ids(t or ""), "<u4"), minlength=own.size)
-                total[end_id] += 1
+            column = batch.column(0)
+            total += np.bincount(np.frombuffer(b"".join(column.to_pylist()), _packed_as(size)), minlength=size)
+            total[end_id] += len(column)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["id", "n"])
 
-    found = docs.select("text").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(byte_bpe.words(path).size, np.int64)
+    found = coded.select("packed").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(size, np.int64)
     counts[found.column("id").to_numpy()] = found.column("n").to_numpy()
     return counts
 
@@ -123,7 +140,9 @@ def write_tokens(
     ship(spark)
     path = path or byte_bpe.default_path()
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    counts = _id_counts(rows, path, end_id)
+    size = byte_bpe.words(path).size
+    coded = staged(_coded(rows, path), "coded-texts")
+    counts = _id_counts(coded, size, end_id)
     id_of_rank = np.argsort(-counts, kind="stable").astype("<u4")
     rank_of_id = np.empty(len(id_of_rank), np.uint32)
     rank_of_id[id_of_rank] = np.arange(len(id_of_rank), dtype=np.uint32)
@@ -134,7 +153,7 @@ def write_tokens(
     shared = spark.sparkContext.broadcast(rank_of_id)
 
     def write(batches):
-        words, rank = byte_bpe.words(path), shared.value
+        rank, kind = shared.value, _packed_as(size)
         part = TaskContext.get().partitionId()
         fs, own = _store(folder)
         name, draft = f"{own}/tokens-{part:06d}.bin", f"{own}/_draft-{part:06d}-{uuid.uuid4().hex}"
@@ -144,8 +163,8 @@ def write_tokens(
 
             doc_ids, parts, held = [], [], 0
             for batch in batches:
-                for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    own_ids = np.append(np.frombuffer(words.ids(t or ""), "<u4"), np.uint32(end_id))
+                for d, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    own_ids = np.append(np.frombuffer(packed.as_buffer(), kind).astype("<u4"), np.uint32(end_id))
                     doc_ids.append(d)
                     parts.append(own_ids)
                     held += len(own_ids)
@@ -164,8 +183,8 @@ def write_tokens(
             [{"part": part, "path": target, "n_docs": docs, "n_ids": ids}],
             pa.schema([("part", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
 
-    ordered = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
+    order = [F.col(c).asc_nulls_first() for c in ("doc_id", "head", "packed")]
+    ordered = coded.repartitionByRange(*order[:2]).sortWithinPartitions(*order).select("doc_id", "packed")
     manifest, start, out = ordered.mapInArrow(write, MANIFEST).collect(), 0, []  # a row per file
     for r in sorted(manifest, key=lambda r: r.part):
         out.append((r.part, r.path, r.n_docs, r.n_ids, start))
