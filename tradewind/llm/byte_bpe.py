@@ -16,6 +16,9 @@ import regex
 
 REMEMBERED = 400_000  # words kept per worker; the first that come, so the frequent ones are among them
 LONGEST_REMEMBERED = 64
+GROUP_CHARACTERS = 500_000  # of texts whose new words are tokenised together
+WORDS_AT_ONCE = 300
+SPACE = "\u0120"  # how byte-level vocabularies write a space
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 # The pre-tokenizer's pattern (a fixed value), with white space spelled out.
 _WS = r"\t-\r \x85\xa0  -     　"
@@ -39,6 +42,11 @@ class Words:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        # tokens whose first byte is a space
+        self.opens = np.zeros(self.size, bool)
+        self.opens[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items() if t.startswith(SPACE)]] = True
+        # a mark after a letter, with white space or nothing behind it, is a pre-token of its own
+        self.mark_ids = {m: np.array(self.tokenise([m])[0], "<u4").tobytes() for m in ".,"}
         self.ids_of: dict[str, bytes] = {}
         self.pieces_of: dict[str, tuple[str, ...]] = {}
 
@@ -48,6 +56,18 @@ class Words:
     def tokenise(self, parts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
+    def tokenise_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each plain word with a space before it.  All go to the library as one text: a token that begins
+        with a space begins a word, as plain words hold no space and have no white space at their ends."""
+        joined = " " + " ".join(words)
+        if not self.is_special(joined):
+            ids = np.array(self.tokenise([joined])[0], "<u4")
+            at = np.flatnonzero(self.opens[ids]).tolist()
+            if len(at) == len(words) and at[0] == 0:
+                raw = ids.tobytes()
+                return [raw[4 * a : 4 * b] for a, b in zip(at, [*at[1:], len(ids)])]
+        return [np.array(ids, "<u4").tobytes() for ids in self.tokenise([" " + w for w in words])]
+
     @staticmethod
     def _odd(word: str) -> bool:
         return not word or word[0].isspace() or word[-1].isspace()
@@ -70,29 +90,59 @@ class Words:
 
     def ids(self, text: str) -> bytes:
         """Token ids as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        if self.is_special(text):
-            return np.array(self.tokenise([text])[0], "<u4").tobytes()
+        return self._group([text])[0]
+
+    def ids_of_texts(self, texts: list[str]) -> list[bytes]:
+        """Token ids of each text; the new words of a group of texts go to the library together."""
+        out, group, held = [], [], 0
+        for text in texts:
+            group.append(text)
+            held += len(text)
+            if held >= GROUP_CHARACTERS:
+                out += self._group(group)
+                group, held = [], 0
+        return out + self._group(group) if group else out
+
+    def _group(self, texts: list[str]) -> list[bytes]:
         known = self.ids_of
-        first, rest, last, new = self.cut(text, known)
-        ends = self.tokenise([first, *last])
-        once: dict[str, bytes] = {}
-        if new:
-            listed = list(new)
-            room = REMEMBERED - len(known)
-            for w, ids in zip(listed, self.tokenise([" " + w for w in listed])):
-                packed = np.array(ids, "<u4").tobytes()
-                if room > 0 and len(w) <= LONGEST_REMEMBERED:
-                    known[w] = packed
-                    room -= 1
-                else:
-                    once[w] = packed
-        if once:
-            middle = [known[w] if w in known else once[w] for w in rest]
-        else:
-            middle = map(known.__getitem__, rest)
-        return b"".join((np.array(ends[0], "<u4").tobytes(), *middle, *(np.array(e, "<u4").tobytes() for e in ends[1:])))
+        cuts = [None if not t or self.is_special(t) else self.cut(t, known) for t in texts]
+        once = self._learn(set().union(*(c[3] for c in cuts if c)))
+        edges = iter(self.tokenise([part for c in cuts if c for part in (c[0], *c[2])]))
+        packed = lambda ids: np.array(ids, "<u4").tobytes()
+        out = []
+        for text, cut in zip(texts, cuts):
+            if not cut:
+                out.append(packed(self.tokenise([text])[0]) if text else b"")
+                continue
+            _, rest, last, new = cut
+            first = packed(next(edges))
+            if once and not once.keys().isdisjoint(new):
+                middle = [once[w] if w in once else known[w] for w in rest]
+            else:
+                middle = map(known.__getitem__, rest)
+            out.append(b"".join((first, *middle, *(packed(next(edges)) for _ in last))))
+        return out
+
+    def _learn(self, new: set[str]) -> dict[str, bytes]:
+        """Tokenises new plain words and remembers them while there is room; gives those it can't remember."""
+        known, once = self.ids_of, {}
+
+        def keep(word: str, ids: bytes) -> None:
+            if len(known) < REMEMBERED and len(word) <= LONGEST_REMEMBERED:
+                known[word] = ids
+            else:
+                once[word] = ids
+
+        marked = {w for w in new if w[-1] in self.mark_ids and w[-2:-1].isalpha() and w[-2] < "\u0250"}
+        wanted = list((new - marked).union(w[:-1] for w in marked).difference(known))
+        for i in range(0, len(wanted), WORDS_AT_ONCE):
+            some = wanted[i : i + WORDS_AT_ONCE]
+            for w, ids in zip(some, self.tokenise_words(some)):
+                keep(w, ids)
+        for w in marked:
+            stem = w[:-1]
+            keep(w, (known[stem] if stem in known else once[stem]) + self.mark_ids[w[-1]])
+        return once
 
     def pieces(self, part: str) -> tuple[str, ...]:
         """Pre-tokens of one part."""

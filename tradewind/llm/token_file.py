@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,11 +100,12 @@ def _write_block(f, doc_ids: list, parts: list[np.ndarray], rank_of_id: np.ndarr
 
 
 def _coded(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, head (the text's first HEAD characters) and packed ids of every row; each text is tokenised here, once."""
+    """doc_id, head (the text's first HEAD characters) and compressed ids of every row; each text is tokenised here, once."""
     def make():
         own = byte_bpe.words(path)
-        kind = _packed_as(own.size)
-        return lambda texts: [np.frombuffer(own.ids(t or ""), "<u4").astype(kind).tobytes() for t in texts]
+        kind, press = _packed_as(own.size), zstandard.ZstdCompressor(level=1).compress
+        return lambda texts: [
+            press(np.frombuffer(ids, "<u4").astype(kind).tobytes()) for ids in own.ids_of_texts([t or "" for t in texts])]
 
     packed = row_function(docs.sparkSession, make, "binary")(F.col("text"))
     return docs.select("doc_id", F.substring("text", 1, HEAD).alias("head"), packed.alias("packed"))
@@ -117,10 +119,10 @@ def _packed_as(size: int) -> str:
 def _id_counts(coded: DataFrame, size: int, end_id: int) -> np.ndarray:
     """How often the corpus has each id; as many numbers as the vocabulary has entries."""
     def count(batches):
-        total = np.zeros(size, np.int64)
+        total, unpress = np.zeros(size, np.int64), zstandard.ZstdDecompressor().decompress
         for batch in batches:
             column = batch.column(0)
-            total += np.bincount(np.frombuffer(b"".join(column.to_pylist()), _packed_as(size)), minlength=size)
+            total += np.bincount(np.frombuffer(b"".join(map(unpress, column.to_pylist())), _packed_as(size)), minlength=size)
             total[end_id] += len(column)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["id", "n"])
@@ -153,7 +155,7 @@ def write_tokens(
     shared = spark.sparkContext.broadcast(rank_of_id)
 
     def write(batches):
-        rank, kind = shared.value, _packed_as(size)
+        rank, kind, unpress = shared.value, _packed_as(size), zstandard.ZstdDecompressor().decompress
         part = TaskContext.get().partitionId()
         fs, own = _store(folder)
         name, draft = f"{own}/tokens-{part:06d}.bin", f"{own}/_draft-{part:06d}-{uuid.uuid4().hex}"
@@ -163,8 +165,8 @@ def write_tokens(
 
             doc_ids, parts, held = [], [], 0
             for batch in batches:
-                for d, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    own_ids = np.append(np.frombuffer(packed.as_buffer(), kind).astype("<u4"), np.uint32(end_id))
+                for d, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    own_ids = np.append(np.frombuffer(unpress(packed), kind).astype("<u4"), np.uint32(end_id))
                     doc_ids.append(d)
                     parts.append(own_ids)
                     held += len(own_ids)
