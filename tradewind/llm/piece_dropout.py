@@ -29,7 +29,7 @@ from tradewind.llm.common import row_function
 DROPOUT = 0.1
 VARIANTS = 4
 SEED = 17
-REMEMBERED = 400_000  # parts, and chains, kept per worker
+REMEMBERED = 300_000  # parts and chains kept per worker
 SHORT = 64  # symbols up to which a list serves as agenda
 LONGEST_REMEMBERED = 48
 PACKED = "struct<n_pieces:bigint,ids:binary,lossless:boolean>"
@@ -75,9 +75,9 @@ class Pieces:
                 self.id_of[piece] = i
                 self.rank[piece] = -sp.get_score(i)
                 self.bytes_of.append(piece.replace(SPACE, " ").encode())
-        # remembered: the first parts and chains that come, so the frequent ones are among them
+        # remembered: the first parts and chains that come, so the frequent ones are among them; a part that
+        # is one chain has that chain's ids, so both are in one table
         self.memory: list[dict[str, bytes]] = [{} for _ in range(variants)]
-        self.chains: list[dict[str, bytes]] = [{} for _ in range(variants)]
         self.joined = {p[i : i + 2] for p in self.id_of for i in range(len(p) - 1)}
 
     def variant(self, key) -> int:
@@ -91,7 +91,7 @@ class Pieces:
 
     def part(self, part: str, variant: int) -> bytes:
         """Ids of one part as little-endian 32-bit integers."""
-        memory = self.chains[variant]
+        memory = self.memory[variant]
         out = []
         for chain in self.cut(part):
             ids = memory.get(chain)
