@@ -38,7 +38,7 @@ HOT_LOCAL = 8  # occurrences in one task from which a shingle is counted for tha
 BLOCK = 1_024
 HUB_GROUP = 512
 FILTER_BITS = 1 << 25  # bound of the filter that finds the texts of candidates: 4 MB
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 SETS = "struct<n:bigint,node:bigint,bitmap:binary,small:binary,prefix:array<bigint>>"
 SMALL = 8  # 64-bit words of the bitmap that goes into blocks; what it lets through meets the whole one
 
