@@ -35,12 +35,13 @@ from tradewind.llm.common import fresh, mix64, row_function, ship, staged, utf8
 
 HOT = 100_000  # shingles moved to the end of the order; any number gives the same links
 HOT_LOCAL = 8  # occurrences in one task from which a shingle is counted for that
-BLOCK = 1_024
+BLOCK = 4_096
 HUB_GROUP = 512
 FILTER_BITS = 1 << 25  # bound of the filter that finds the texts of candidates: 4 MB
 REMEMBERED = 100_000
-SETS = "struct<n:bigint,node:bigint,bitmap:binary,small:binary,prefix:array<bigint>>"
+SETS = "struct<n:bigint,node:bigint,bitmap:binary,small:binary,leading:binary,prefix:array<bigint>>"
 SMALL = 8  # 64-bit words of the bitmap that goes into blocks; what it lets through meets the whole one
+LEADING = 8  # least prefix shingles that go into blocks; any number gives the same links
 
 _FOLD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
 
@@ -108,11 +109,11 @@ def _make_sets(words: int, num: int, den: int, hot):
         def one(text):
             h = shingles(text, words)
             if not len(h):
-                return {"n": 0, "node": None, "bitmap": None, "small": None, "prefix": []}
+                return {"n": 0, "node": None, "bitmap": None, "small": None, "leading": None, "prefix": []}
             node = int(mix64(np.array([(h * _FOLD[1]).sum() ^ np.bitwise_xor.reduce(mix64(h))], np.uint64)).view(np.int64)[0])
-            bits = bitmap(h)
+            bits, prefix = bitmap(h), _prefix(h, known, num, den).view(np.int64)
             return {"n": len(h), "node": node, "bitmap": bits.tobytes(), "small": folded(bits, SMALL).tobytes(),
-                    "prefix": _prefix(h, known, num, den).view(np.int64)}
+                    "leading": np.sort(prefix)[:LEADING].tobytes(), "prefix": prefix}
 
         return lambda texts: [one(t) for t in texts]
 
@@ -182,7 +183,7 @@ class _Search:
 
     def __init__(self, docs: DataFrame, sets: DataFrame, words: int, num: int, den: int) -> None:
         self.spark, self.words, self.num, self.den = docs.sparkSession, words, num, den
-        self.nodes = sets.where("n > 0").select("node", "n", "bitmap", "small")
+        self.nodes = sets.where("n > 0").select("node", "n", "bitmap", "small", "leading")
         keys = sets.where("n > 0").select("node", F.explode("prefix").alias("key"))
         tiles = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
         # only tiles of two nodes or more go on
@@ -191,7 +192,8 @@ class _Search:
         owners = sets.groupBy("node").agg(F.min("row").alias("row")).join(needed, "node", "left_semi")
         self.texts = staged(self._texts(docs, owners), "candidate-texts")
         self.bitmaps = staged(
-            self.nodes.join(needed, "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("bitmap").alias("bitmap"), F.first("small").alias("small")),
+            self.nodes.join(needed, "node", "left_semi").groupBy("node").agg(
+                *(F.first(c).alias(c) for c in ("n", "bitmap", "small", "leading"))),
             "bitmaps")
 
     def _texts(self, docs: DataFrame, owners: DataFrame) -> DataFrame:
@@ -285,16 +287,19 @@ class _Search:
         return rows.mapInArrow(check, "u bigint, v bigint")
 
     def across(self, comps: DataFrame | None) -> DataFrame:
-        """All pairs of nodes of one tile but different components that sizes and bitmaps allow."""
+        """All pairs of nodes of one tile but different components that sizes and bitmaps allow.
+
+        Two near copies meet in most of their tiles.  A tile leaves a pair out if both sets have a smaller shingle among
+        their LEADING ones: that shingle's tile holds both too, and the smallest such tile gives the pair."""
         members = self._labelled(comps)
         mixed = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("many")).where("lo < hi")
-        rows = members.join(mixed.select("key", "many"), "key").join(self.bitmaps.select("node", "n", F.col("small").alias("bitmap")), "node")
+        rows = members.join(mixed.select("key", "many"), "key").join(self.bitmaps.select("node", "n", F.col("small").alias("bitmap"), "leading"), "node")
         blocks = F.ceil(F.col("many") / BLOCK).cast("int")
         own = F.pmod(F.xxhash64("node"), blocks).cast("int")
         # every block meets every block of its tile: row (lower block, higher block)
         dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
             "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-            (F.col("own") > F.col("other")).alias("second"), "n", "node", "comp", "bitmap")
+            (F.col("own") > F.col("other")).alias("second"), "n", "node", "comp", "bitmap", "leading")
         dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n", "node")
         num, den = self.num, self.den
 
@@ -307,6 +312,10 @@ class _Search:
                 comp = np.array([r[2] for r in rows])
                 node = [r[3] for r in rows]
                 maps = [np.frombuffer(r[4], np.uint64) for r in rows]
+                leading = np.full((len(rows), LEADING), np.iinfo(np.int64).max)
+                for k, r in enumerate(rows):
+                    own = np.frombuffer(r[5], np.int64)
+                    leading[k, : len(own)] = own
                 by_width: dict[int, np.ndarray] = {}
                 out_u, out_v = [], []
                 for x in range(len(rows) - 1):
@@ -323,6 +332,9 @@ class _Search:
                         by_width[width] = np.array([folded(m, width) if len(m) >= width else np.zeros(width, np.uint64) for m in maps])
                     apart = np.bitwise_count(by_width[width][y] ^ by_width[width][x]).sum(1).astype(np.int64)
                     y = y[(n[x] + n[y] - apart) // 2 >= least_overlap(n[x], n[y], num, den)]
+                    smaller = leading[x][leading[x] < tile[0]]
+                    if len(y) and len(smaller):
+                        y = y[~np.isin(leading[y], smaller).any(1)]
                     out_u += [node[x]] * len(y)
                     out_v += [node[k] for k in y]
                 return out_u, out_v
@@ -330,14 +342,14 @@ class _Search:
             tile, held = None, []
             for batch in batches:
                 found_u, found_v = [], []
-                for key, i, j, second, n, node, comp, bits in zip(*(c.to_pylist() for c in batch.columns)):
+                for key, i, j, second, n, node, comp, bits, least in zip(*(c.to_pylist() for c in batch.columns)):
                     if (key, i, j) != tile:
                         if held:
                             u, v = close(tile, held)
                             found_u += u
                             found_v += v
                         tile, held = (key, i, j), []
-                    held.append((second, n, comp, node, bits))
+                    held.append((second, n, comp, node, bits, least))
                 yield pa.RecordBatch.from_arrays([pa.array(found_u, pa.int64()), pa.array(found_v, pa.int64())], ["u", "v"])
             if held:
                 u, v = close(tile, held)
