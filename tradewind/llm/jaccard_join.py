@@ -1,11 +1,11 @@
 """Exact Jaccard join of documents on word n-grams.
 
-Texts become sets of hashed shingles; equal sets are one node from the start.  A tile is the set of nodes that
-share a prefix shingle: with the shingles of every text in one order, two sets of Jaccard similarity >= t have
+Texts become sets of hashed shingles; equal sets are one node from the start.  A tile is the set of nodes of one
+size band that share a prefix shingle: with the shingles of every text in one order, two sets of Jaccard similarity >= t have
 a common one among the first n - ceil(t n) + 1, so no link is missed.  The order is by hash, but the shingles that
 are most frequent over the corpus come last, which keeps common passages out of the prefixes.
 
-In a tile only sets of one size band (sizes within t of each other) can link.  Each node carries a bitmap of
+Only sets whose sizes are within t of each other can link, so a node is in the tiles of its own band and the next.  Each node carries a bitmap of
 parities of its hashed shingles, as wide as the set is large; every differing bit needs a shingle that only
 one side has, so bit counts bound the overlap from above.  Pairs that pass are decided exactly by
 intersecting the sorted shingle arrays.
@@ -22,13 +22,14 @@ of its ids are null.
 
 from __future__ import annotations
 
+import math
 import zlib
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import fresh, mix64, row_function, ship, staged, utf8
@@ -40,6 +41,7 @@ HUB_GROUP = 512
 FILTER_BITS = 1 << 25  # bound of the filter that finds the texts of candidates: 4 MB
 REMEMBERED = 100_000
 SETS = "struct<n:bigint,node:bigint,bitmap:binary,small:binary,leading:binary,prefix:array<bigint>>"
+TILE = ["key", "band"]
 SMALL = 8  # 64-bit words of the bitmap that goes into blocks; what it lets through meets the whole one
 LEADING = 8  # least prefix shingles that go into blocks; any number gives the same links
 
@@ -184,10 +186,15 @@ class _Search:
     def __init__(self, docs: DataFrame, sets: DataFrame, words: int, num: int, den: int) -> None:
         self.spark, self.words, self.num, self.den = docs.sparkSession, words, num, den
         self.nodes = sets.where("n > 0").select("node", "n", "bitmap", "small", "leading")
-        keys = sets.where("n > 0").select("node", F.explode("prefix").alias("key"))
-        tiles = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
-        # only tiles of two nodes or more go on
-        self.members = staged(keys.join(tiles, "key").distinct(), "tiles")
+        keys = sets.where("n > 0").select("node", "n", F.explode("prefix").alias("key"))
+        shared = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
+        # only shingles of two nodes or more go on, and of those only bands of two nodes or more
+        banded = staged(keys.join(shared, "key").distinct(), "shared").withColumn("own", self._band(F.col("n"))).select(
+            "key", F.explode(F.array("own", F.col("own") + 1)).alias("band"), "node", "n", "own").withColumn(
+            "home", F.col("own") == F.col("band")).drop("own")
+        tiles = banded.groupBy("key", "band").agg(
+            F.min("node").alias("lo"), F.max("node").alias("hi"), F.max("home").alias("any")).where("lo < hi and any")
+        self.members = staged(banded.join(tiles.select(*TILE), TILE), "tiles")
         needed = self.members.select("node").distinct()
         owners = sets.groupBy("node").agg(F.min("row").alias("row")).join(needed, "node", "left_semi")
         self.texts = staged(self._texts(docs, owners), "candidate-texts")
@@ -196,6 +203,14 @@ class _Search:
                 *(F.first(c).alias(c) for c in ("n", "bitmap", "small", "leading"))),
             "bitmaps")
 
+    def _band(self, n: Column) -> Column:
+        """Size band.  Bands are a little wider than the sizes that can link, so those lie in one or in two neighbours;
+        a node is at home in its own and visits the next, and the larger node of a pair is at home where they meet."""
+        return F.floor(F.log(n) / math.log(1.01 * self.den / self.num)).cast("int")
+
+    def _sized(self, a: str, b: str) -> Column:
+        return F.lit(self.den) * F.least(a, b) >= F.lit(self.num) * F.greatest(a, b)
+
     def _texts(self, docs: DataFrame, owners: DataFrame) -> DataFrame:
         """(node, packed text) of the candidates.  A filter of fixed size passes over the corpus once; what it lets
         through by chance is dropped by the join."""
@@ -224,10 +239,10 @@ class _Search:
         """Pairs (u: hub, v) of one hub per tile and its nodes of other components."""
         members = self._labelled(comps)
         rank = F.hash("node", F.lit(turn))
-        hub = members.groupBy("key").agg(
-            F.min(F.struct(rank.alias("r"), "node", "comp")).alias("hub"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-        return members.join(hub.select("key", F.col("hub.node").alias("u"), F.col("hub.comp").alias("hub_comp")), "key").where(
-            "comp != hub_comp").select("u", F.col("node").alias("v")).distinct()
+        hub = members.groupBy(*TILE).agg(
+            F.min(F.struct(rank.alias("r"), "node", "comp", "n")).alias("hub"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+        hub = hub.select(*TILE, F.col("hub.node").alias("u"), F.col("hub.comp").alias("hub_comp"), F.col("hub.n").alias("hub_n"))
+        return members.join(hub, TILE).where(F.col("comp") != F.col("hub_comp")).where(self._sized("n", "hub_n")).select("u", F.col("node").alias("v")).distinct()
 
     def _labelled(self, comps: DataFrame | None) -> DataFrame:
         if comps is None:
@@ -239,8 +254,7 @@ class _Search:
         left = self.bitmaps.select(F.col("node").alias("u"), F.col("n").alias("nu"), F.col("bitmap").alias("bu"))
         right = self.bitmaps.select(F.col("node").alias("v"), F.col("n").alias("nv"), F.col("bitmap").alias("bv"))
         num, den = self.num, self.den
-        sized = pairs.join(left, "u").join(right, "v").where(
-            (den * F.least("nu", "nv") >= num * F.greatest("nu", "nv")))
+        sized = pairs.join(left, "u").join(right, "v").where(self._sized("nu", "nv"))
 
         def make():
             def one(a, b, x, y):
@@ -292,15 +306,16 @@ class _Search:
         Two near copies meet in most of their tiles.  A tile leaves a pair out if both sets have a smaller shingle among
         their LEADING ones: that shingle's tile holds both too, and the smallest such tile gives the pair."""
         members = self._labelled(comps)
-        mixed = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("many")).where("lo < hi")
-        rows = members.join(mixed.select("key", "many"), "key").join(self.bitmaps.select("node", "n", F.col("small").alias("bitmap"), "leading"), "node")
+        mixed = members.groupBy(*TILE).agg(
+            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("many"), F.max("home").alias("any")).where("lo < hi and any")
+        rows = members.join(mixed.select(*TILE, "many"), TILE).join(self.bitmaps.select("node", F.col("small").alias("bitmap"), "leading"), "node")
         blocks = F.ceil(F.col("many") / BLOCK).cast("int")
         own = F.pmod(F.xxhash64("node"), blocks).cast("int")
         # every block meets every block of its tile: row (lower block, higher block)
         dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
-            "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-            (F.col("own") > F.col("other")).alias("second"), "n", "node", "comp", "bitmap", "leading")
-        dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n", "node")
+            *TILE, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+            (F.col("own") > F.col("other")).alias("second"), "n", "node", "comp", "bitmap", "leading", "home")
+        dealt = dealt.repartition(*TILE, "i", "j").sortWithinPartitions(*TILE, "i", "j", "n", "node")
         num, den = self.num, self.den
 
         def compare(batches):
@@ -316,14 +331,15 @@ class _Search:
                 for k, r in enumerate(rows):
                     own = np.frombuffer(r[5], np.int64)
                     leading[k, : len(own)] = own
+                home = np.array([r[6] for r in rows])
                 by_width: dict[int, np.ndarray] = {}
                 out_u, out_v = [], []
                 for x in range(len(rows) - 1):
                     # partners are at least as large; rows are sorted by size
                     end = int(np.searchsorted(n, n[x] * den // num, side="right"))
                     y = np.arange(x + 1, end)
-                    y = y[comp[y] != comp[x]]
-                    if tile[1] != tile[2]:
+                    y = y[home[y] & (comp[y] != comp[x])]
+                    if tile[2] != tile[3]:
                         y = y[second[y] != second[x]]
                     if not len(y):
                         continue
@@ -342,14 +358,14 @@ class _Search:
             tile, held = None, []
             for batch in batches:
                 found_u, found_v = [], []
-                for key, i, j, second, n, node, comp, bits, least in zip(*(c.to_pylist() for c in batch.columns)):
-                    if (key, i, j) != tile:
+                for key, band, i, j, second, n, node, comp, bits, least, home in zip(*(c.to_pylist() for c in batch.columns)):
+                    if (key, band, i, j) != tile:
                         if held:
                             u, v = close(tile, held)
                             found_u += u
                             found_v += v
-                        tile, held = (key, i, j), []
-                    held.append((second, n, comp, node, bits, least))
+                        tile, held = (key, band, i, j), []
+                    held.append((second, n, comp, node, bits, least, home))
                 yield pa.RecordBatch.from_arrays([pa.array(found_u, pa.int64()), pa.array(found_v, pa.int64())], ["u", "v"])
             if held:
                 u, v = close(tile, held)
