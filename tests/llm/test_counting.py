@@ -124,3 +124,33 @@ def test_dropout_varies_but_repeats(spark, awkward, nothing):
 def test_both_agendas_merge_alike(text, key):
     own = piece_dropout.pieces(piece_dropout.default_model(), 0.2, 3, 5)
     assert own._short(list(text), key) == own._long(list(text), key)
+
+
+def test_every_occurrence_has_its_own_draws(spark):
+    frame = spark.createDataFrame([(i, "international information " * 20) for i in range(60)], "doc_id bigint, text string")
+    ids = [bytes(r.encoded.ids) for r in piece_dropout.encode(frame).collect()]
+    assert len(set(ids)) == 60
+    own = piece_dropout.pieces(piece_dropout.default_model(), 0.1, None, 17)
+    draws = own.draws("one document")
+    assert len({own.part("▁international", draws) for _ in range(400)}) > 20
+
+
+@pytest.mark.parametrize("dropout", [0.1, 0.5, 1.0])
+def test_candidates_are_skipped_at_the_rate(dropout):
+    own = piece_dropout.pieces(piece_dropout.default_model(), dropout, None, 17)
+    n = 20_000
+    skipped = len(own.encode("a " * (n - 1) + "a", "key")) // 4 - n  # one candidate in each word
+    assert abs(skipped - dropout * n) <= 5 * (dropout * (1 - dropout) * n) ** 0.5
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet="the ioninga,é", max_size=100), min_size=1, max_size=12))
+def test_what_is_remembered_changes_nothing(texts):
+    with pytest.MonkeyPatch.context() as patch:
+        own = piece_dropout.pieces(piece_dropout.default_model(), 0.3, None, 5)
+        patch.setattr(own, "memory", {})
+        warm = [own.encode(t, k) for k in range(3) for t in texts]
+        again = [own.encode(t, k) for k in range(3) for t in texts]
+        patch.setattr(own, "memory", {})
+        patch.setattr(piece_dropout, "REMEMBERED", 0)
+        assert warm == again == [own.encode(t, k) for k in range(3) for t in texts] and not own.memory
