@@ -154,3 +154,21 @@ def test_what_is_remembered_changes_nothing(texts):
         patch.setattr(own, "memory", {})
         patch.setattr(piece_dropout, "REMEMBERED", 0)
         assert warm == again == [own.encode(t, k) for k in range(3) for t in texts] and not own.memory
+
+
+BARS = ["▁▂▃▅▇ load", "a▁b", "▁", " ▁ ▁▁", "▁start", "end ▁"]
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.1])
+def test_texts_with_u2581_are_restored(spark, dropout):
+    frame = spark.createDataFrame(list(enumerate(BARS)), "doc_id bigint, text string")
+    rows = piece_dropout.decode(piece_dropout.encode(frame, dropout=dropout), "encoded.ids").collect()
+    assert sorted((r.doc_id, r.decoded, r.encoded.lossless) for r in rows) == [(i, t, True) for i, t in enumerate(BARS)]
+    assert all(SP.decode(np.frombuffer(r.encoded.ids, "<u4").tolist()) == r.text for r in rows if not r.text.startswith(" "))
+
+
+@settings(max_examples=200, deadline=None)
+@given(ODD | st.text(max_size=60), st.integers(0, 9))
+def test_exact_pieces_restore_the_unchanged_text(text, key):
+    own = piece_dropout.pieces(piece_dropout.default_model(), 0.3, None, 5)
+    assert own.decode(own.encode(text, key, exact=True)).decode() == text

@@ -14,8 +14,9 @@ candidates follow the last of them; an occurrence without a skip among its candi
 With `variants` = N a key counts by its hash modulo N only, so that equal texts have N segmentations at most.
 With dropout 0 the result is the library's own.  Symbols outside the vocabulary become byte pieces.
 
-Decoding joins the pieces' bytes and takes the first space away: it restores every text, but for U+2581
-itself, which such a vocabulary can't tell from a space.  Null texts count as empty and have no pieces.
+Decoding joins the pieces' bytes and takes the first space away.  A U+2581 of the text itself, which the library takes
+for a space, becomes its three byte pieces in `encode`, so that every text is restored; `Pieces.encode` does the same with
+`exact`, and without it does as the library does.  Null texts count as empty and have no pieces.
 """
 
 from __future__ import annotations
@@ -44,6 +45,7 @@ GAPS = 64  # drawn at a time
 NEVER = 1 << 62
 PACKED = "struct<n_pieces:bigint,ids:binary,lossless:boolean>"
 SPACE = "▁"
+LITERAL = "\ud800"  # stands for a U+2581 of the text itself: no valid text holds a lone surrogate, no piece either
 _PARTS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 def default_model() -> str:
     import public_tokenizers
@@ -167,7 +169,7 @@ class Pieces:
             if i is not None:
                 ids.append(i)
             else:
-                ids += [self.byte_id[b] for b in s.encode()]
+                ids += [self.byte_id[b] for b in (SPACE if s == LITERAL else s).encode()]
         packed = struct.pack(f"<{len(ids)}I", *ids)
         # as many skips as lead to `at`: what comes after them is what `at` stands for
         if len(chain) <= LONGEST_REMEMBERED and skips == len(gaps) - 1:
@@ -243,10 +245,12 @@ class Pieces:
         draws.left = left - n
         return [s for s in symbols if s is not None], skips, n
 
-    def encode(self, text: str | None, key=None) -> bytes:
+    def encode(self, text: str | None, key=None, exact: bool = False) -> bytes:
         if not text:
             return b""
         draws = self.draws(text if key is None else key)
+        if exact:
+            text = text.replace(SPACE, LITERAL)
         words = text.split(" ")
         if "" in words or SPACE in text:
             parts = _PARTS.findall(SPACE + text.replace(" ", SPACE))
@@ -286,9 +290,9 @@ def encode(
         own = pieces(model, dropout, variants, seed)
 
         def work(texts, keys):
-            done = [own.encode(t, k) for t, k in zip(texts, keys)]
+            done = [own.encode(t, k, exact=True) for t, k in zip(texts, keys)]
             return [
-                {"n_pieces": len(b) // 4, "ids": b, "lossless": own.decode(b) == (t or "").replace(SPACE, " ").encode("utf-8", "replace")}
+                {"n_pieces": len(b) // 4, "ids": b, "lossless": own.decode(b) == (t or "").encode("utf-8", "replace")}
                 for b, t in zip(done, texts)]
 
         return work
