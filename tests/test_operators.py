@@ -256,3 +256,14 @@ def test_latest_metrics_keep_the_newest(spark):
         registry.metric_rows(one.withColumn("auc", F.lit(0.9)), "m", "t", "a", F.lit("2024-02-01").cast("timestamp")))
     got = {r.metric: r.value for r in registry.latest_metrics(log).collect()}
     assert got == {"auc": 0.9, "n": 3.0}
+
+
+def test_heavy_buyers_get_full_popularity_lists(spark):
+    # customer 1 owns the 145 most popular products of 200, 2 owns 195, 3 all, 4 none
+    owned = {1: 145, 2: 195, 3: 200, 4: 0}
+    pairs = spark.createDataFrame([(0, p, 1000 - p) for p in range(200)], "customer_id int, product_id int, buys int")
+    seen = spark.createDataFrame([(c, p) for c, n in owned.items() for p in range(n)], "customer_id int, product_id int")
+    customers = spark.createDataFrame([(c,) for c in owned], "customer_id int")
+    rows = recommend.popularity_baseline(customers, recommend.popular_candidates(pairs), seen, 10).collect()
+    want = {(c, p, i + 1) for c, n in owned.items() for i, p in enumerate(range(n, min(n + 10, 200)))}
+    assert {(r.customer_id, r.product_id, r["rank"]) for r in rows} == want and len(rows) == len(want)
