@@ -267,3 +267,15 @@ def test_heavy_buyers_get_full_popularity_lists(spark):
     rows = recommend.popularity_baseline(customers, recommend.popular_candidates(pairs), seen, 10).collect()
     want = {(c, p, i + 1) for c, n in owned.items() for i, p in enumerate(range(n, min(n + 10, 200)))}
     assert {(r.customer_id, r.product_id, r["rank"]) for r in rows} == want and len(rows) == len(want)
+
+
+def test_pca_gives_every_customer_a_point(spark):
+    from pyspark.ml.linalg import Vectors
+
+    rng = random.Random(3)
+    n = 2600
+    rows = [(i, Vectors.dense([rng.random(), rng.random(), rng.random()]), i % 2, 1.0, 1, 1) for i in range(n)]
+    frame = spark.createDataFrame(rows, ["customer_id", "features", "prediction", "monetary", "frequency", "recency_days"])
+    names = spark.createDataFrame([(0, "a"), (1, "b")], "cluster int, segment string")
+    assert sorted(r.customer_id for r in segment.pca_points(frame, names)[0].select("customer_id").collect()) == list(range(n))
+    assert 0 < segment.pca_points(frame, names, fraction=0.5)[0].count() < n
