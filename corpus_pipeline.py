@@ -15,8 +15,7 @@ NEAR_COPY = dict(words=5, num=80, den=100)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in some language stay; those without a letter, or without a language that makes up most of
-    them, go.  Learns from the documents whose id's crc32 modulo 3 isn't 1."""
+    """Documents in some language, or in several, stay; those without a letter go.  Learns from the documents whose id's crc32 modulo 3 isn't 1."""
     held_out = F.coalesce(crc_part(F.col("doc_id"), 3) == 1, F.lit(False))
     model = language_mixture.train(docs.where(~held_out))
     name = fresh(docs, "_language")

@@ -146,3 +146,20 @@ def test_longest_match_and_awkward_rows(spark, awkward, nothing):
     assert clean.columns == awkward.columns and clean.count() == awkward.count()
     assert suffix_decontam.decontaminate(nothing, bench).count() == 0
     assert suffix_decontam.decontaminate(awkward, bench.where("false")).count() == awkward.count()
+
+
+def test_clean_documents_stay_whatever_the_number_of_labels(spark):
+    import random
+    import string
+
+    from tradewind.llm import language_mixture
+
+    rng = random.Random(8)
+    words = {f"l{i:02}": ["".join(rng.choices(string.ascii_lowercase, k=6)) for _ in range(30)] for i in range(40)}
+    train = spark.createDataFrame([(k, " ".join(w * 3)) for k, w in words.items()], "lang string, text string")
+    docs = [w[0] + " " + w[1] for w in words.values()]
+    docs += [" ".join(words["l01"][:8] + words["l02"][:6] + words["l03"][:6])]
+    frame = spark.createDataFrame([(t,) for t in [*docs, "12 34", "", None]], "text string")
+    found = language_mixture.identify(frame, language_mixture.train(train))
+    kept = found.where(~language_mixture.rejected(F.col("language"))).collect()
+    assert sorted(r.text for r in kept) == sorted(docs)

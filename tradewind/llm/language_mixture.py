@@ -157,6 +157,6 @@ def identify(docs: DataFrame, model: Model, text: str = "text", into: str = "lan
     return docs.withColumn(into, row_function(spark, make, RESULT)(F.col(text).cast("string")))
 
 
-def rejected(found: Column, least_score: float = 0.5) -> Column:
-    """No language, or none that makes up most of the text."""
-    return (found["lang"] == UNKNOWN) | (found["score"] < least_score)
+def rejected(found: Column) -> Column:
+    """No language.  The score says nothing here: in short texts it falls with the number of learned languages."""
+    return found["lang"] == UNKNOWN
