@@ -85,6 +85,18 @@ def test_near_copies_of_awkward_rows(awkward, nothing):
     assert jaccard_join.drop_near_copies(nothing).count() == 0
 
 
+def test_near_copies_go_by_id_and_text(spark):
+    a, b, c, d = (prose(i, 60) for i in (11, 12, 13, 14))
+    rows = [(1, a, "x"), (3, a + " tail", "x"), (3, b, "x"), (None, c, "x"), (None, c + " tail", "y"), (5, d, "y"), (5, d, "x"),
+            (None, d, "z"), (6, "", "x"), (6, "", "x"), (None, None, "x")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    kept = [tuple(r) for r in jaccard_join.drop_near_copies(frame).collect()]
+    for start in (a, b, c, d):
+        assert sum((t or "").startswith(start) for _, t, _ in kept) == 1
+    assert {(1, a, "x"), (3, b, "x"), (5, d, "x")} <= set(kept)
+    assert kept.count((6, "", "x")) == 2 and kept.count((None, None, "x")) == 1 and len(kept) == 7
+
+
 def plain_lines(rows, least):
     sites, first = defaultdict(set), {}
     for doc_id, text, site in rows:

@@ -391,28 +391,46 @@ def jaccard_components(
 
     Rows link when den * intersection >= num * union; component_id is the smallest doc_id of the rows that links
     reach, itself included."""
+    own = _labelled_rows(docs, words, num, den, doc_id, text)
+    least = own.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least"))
+    return own.join(least, "comp", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce(F.col("least"), F.col("doc_id")).alias("component_id"), "node")
+
+
+def _row_name(doc_id: str, text: str) -> Column:
+    """Tells rows apart well enough to find a text again: rows alike in it are alike in id and text."""
+    return F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.hex(F.xxhash64(F.col(text).cast("string"))))
+
+
+def _labelled_rows(docs: DataFrame, words: int, num: int, den: int, doc_id: str, text: str) -> DataFrame:
+    """doc_id, row, n, node and comp of every row; rows without words have no node and no comp."""
     spark = docs.sparkSession
     ship(spark)
-    # `row` tells rows apart well enough to find a text again: rows alike in it are alike in text
-    body = F.col(text).cast("string")
-    rows = docs.select(
-        F.col(doc_id).alias("doc_id"),
-        F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.hex(F.xxhash64(body))).alias("row"), utf8(F.col(text)).alias("text"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), _row_name(doc_id, text).alias("row"), utf8(F.col(text)).alias("text"))
     hot = spark.sparkContext.broadcast(_hot_shingles(rows, words, num, den))
     made = rows.withColumn("s", row_function(spark, _make_sets(words, num, den, hot), SETS)(F.col("text")))
     sets = staged(made.select("doc_id", "row", "s.*"), "sets")
     labels = _Search(rows, sets, words, num, den).labels()
-    own = sets.select("doc_id", "n", "node").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    least = own.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least"))
-    return own.join(least, "comp", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce(F.col("least"), F.col("doc_id")).alias("component_id"), "node")
+    return sets.select("doc_id", "row", "n", "node").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
 
-def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """`docs` with one document of each component, the one with the smallest id; rows without words all stay.
-    Rows that repeat an id and a text stay together."""
-    found = staged(jaccard_components(docs, doc_id=doc_id, text=text, **options), "components")
-    gone = found.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
-    id_ = fresh(docs, "_copy_id")
-    return docs.join(gone.select(F.col("doc_id").alias(id_)), F.col(doc_id) == F.col(id_), "left_anti")
-
+def drop_near_copies(
+    docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, doc_id: str = "doc_id", text: str = "text",
+) -> DataFrame:
+    """`docs` with one row of each component, the one with the smallest id (null ids last); rows without words all stay.
+    Where an id has several texts, each is a row of its own component.  Of rows that repeat an id and a text one stays:
+    the one that sorts first as JSON."""
+    found = staged(
+        _labelled_rows(docs, words, num, den, doc_id, text).where("comp is not null").groupBy("comp", "doc_id", "node", "row").agg(
+            F.count("*").alias("many")), "components")
+    first = found.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node", "row")).getField("row").alias("first"))
+    marked = found.join(first, "comp").select("row", "many", (F.col("row") == F.col("first")).alias("stays"))
+    id_ = fresh(docs, "_copy_row")
+    repeated = marked.where("stays and many > 1").select(F.col("row").alias(id_))
+    named = docs.withColumn(id_, _row_name(doc_id, text))
+    out = named.join(marked.where("not stays or many > 1").select(F.col("row").alias(id_)), id_, "left_anti").drop(id_)
+    if repeated.isEmpty():
+        return out
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = named.join(repeated, id_, "left_semi").groupBy(id_).agg(F.min_by(row, F.to_json(row)).alias("row"))
+    return out.unionByName(one.select("row.*"))
