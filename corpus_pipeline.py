@@ -58,7 +58,7 @@ STAGES = [
     ("pieces", encode_pieces),
 ]
 
-ORACLE_SQL = None  # language inference and seeded segmentation have no SQL form; tests hold a brute-force version against it
+ORACLE_SQL = None  # language inference and seeded segmentation have no SQL form; a test compares each stage's rows with plain Python, and the pieces by what they decode to
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,8 @@ import pytest
 
 import corpus_pipeline
 from tests.llm.conftest import prose
-from tradewind.llm import jaccard_join, line_spread, queries, shard_splitters
+from tests.llm.test_text_rules import plain_hits
+from tradewind.llm import jaccard_join, line_spread, piece_dropout, queries, shard_splitters, suffix_decontam
 
 SF = "/root/testdata/sf0.001"
 
@@ -182,3 +183,54 @@ def test_every_query_is_registered():
 
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(queries.ORACLE) <= set(entry.oracle_sql())
+
+
+def planted():
+    """(documents, benchmark items): clean rows, near copies, lines of eight sites, benchmark passages, texts without a letter."""
+    item = prose(500, 30)
+    line = "all rights reserved by the site " + prose(501, 4)
+    clean = [(i, prose(600 + i, 60), f"s{i % 9}") for i in range(24)]
+    docs = clean + [(100 + i, t + " tail", s) for i, t, s in clean[:5]] + [(110, clean[6][1], "s1"), (3, prose(700, 50), "s2")]
+    docs += [(200 + i, line + "\n" + prose(800 + i, 50), f"s{i}") for i in range(9)] + [(220, line, "s3"), (221, line + "\n" + line, "s4")]
+    docs += [(300 + i, prose(900 + i, 20) + " " + item + " " + prose(950 + i, 20), "s5") for i in range(3)]
+    docs += [(310, " ".join(item.split()[:12]) + " " + prose(990, 40), "s6"), (400, "12 34 ...", "s7"), (401, "", "s7"), (402, None, "s8")]
+    docs += [(403, "▁▂▃ load " + prose(991, 12), "s8"), (404, "a", "s1"), (None, prose(992, 30), "s1")]
+    return docs, [("q1", item), ("q2", prose(502, 25))]
+
+
+def plain_stages(docs, items):
+    docs = [d for d in docs if d[1] is not None and any(c.isalpha() for c in d[1])]
+    yield docs
+    cut = plain_lines([(10**9 if i is None else i, t, s) for i, t, s in docs], line_spread.MIN_SITES)
+    docs = [(i, t, s) for (i, old, s), (_, t) in zip(docs, cut, strict=True) if t == old or t]
+    yield docs
+    # ids are unlike for each row here, so that a component can be told by them
+    parts = plain_components([(k, t) for k, (_, t, _) in enumerate(docs)], 5, 80, 100)
+    groups = defaultdict(list)
+    for k, _, least in parts:
+        groups[least].append(docs[k])
+    docs = [min(g, key=lambda d: (d[0] is None, d[0])) for g in groups.values()]
+    yield docs
+    hits = [(d, *plain_hits((d[1] or "").encode(), [(n, t.encode()) for n, t in items], suffix_decontam.WINDOW)[:2]) for d in docs]
+    yield [d for d, words, hit in hits if not hit or 20 * hit < words]
+
+
+def test_pipeline_equals_plain_stages(spark, tmp_path):
+    rows, items = planted()
+    frame = spark.createDataFrame(
+        [(i, t, "en", s, None if t is None else len(t)) for i, t, s in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(items, "item_id string, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs, sizes = spark.read.parquet(str(tmp_path / "documents.parquet")), [len(rows)]
+    for k, ((name, stage), want) in enumerate(zip(corpus_pipeline.STAGES, plain_stages(rows, items))):
+        stage(spark, docs, str(tmp_path)).write.parquet(str(tmp_path / f"out{k}"))
+        docs = spark.read.parquet(str(tmp_path / f"out{k}"))
+        got = [(r.doc_id, r.text, r.source) for r in docs.collect()]
+        assert Counter(got) == Counter(want), name
+        assert all(r.n_chars == len(r.text) for r in docs.collect()), name
+        sizes.append(len(got))
+    assert all(a > b for a, b in zip(sizes, sizes[1:])), sizes
+    own = piece_dropout.pieces(piece_dropout.default_model(), 0.0, None, 0)
+    coded = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
+    pieces = [(r.doc_id, own.decode(bytes(r.ids)).decode(), r.source) for r in coded]
+    assert Counter(pieces) == Counter(want) and all(r.lossless for r in coded)
