@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm import (
+    conversation_repair,
     jaccard_join,
     language_mixture,
     line_spread,
@@ -102,11 +103,26 @@ def op10_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def repaired_conversations(turns: DataFrame) -> DataFrame:
+    """The report of every conversation of `turns` after damage and repair; one without rows left has zeros."""
+    found = conversation_repair.summaries(conversation_repair.repair(conversation_repair.damaged(turns), "conv")).alias("r")
+    ids = turns.select("conv_id").distinct()
+    measures = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return ids.join(found, F.col("conv_id").eqNullSafe(F.col("r.conv")), "left").select(
+        "conv_id", *(F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(m) for m in measures),
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired_conversations(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard_join, op2_token_counts, op3_pii_anchors, op4_token_files, op5_language_mixture, op6_piece_dropout,
-        op7_quality_forest, op8_line_spread, op9_suffix_decontamination, op10_sampled_splitters)
+        op7_quality_forest, op8_line_spread, op9_suffix_decontamination, op10_sampled_splitters,
+        op13_conversation_repair)
 }
 
 _ASCII_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -161,4 +177,53 @@ ORACLE = {
         SELECT d.doc_id, coalesce(len(w), 0) AS n_words, coalesce(covered.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
             coalesce(h, sha256('')) AS items_sha256, coalesce(covered.n > 0 AND 20 * covered.n >= len(w), false) AS contaminated
         FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op13_conversation_repair": r"""
+        WITH RECURSIVE k AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                xor(list_reduce(
+                    list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ord(c)::BIGINT),
+                    lambda crc, b: list_reduce(range(8), lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)), xor(crc, b)),
+                    4294967295::BIGINT), 4294967295) % 20 AS draw FROM conversations),
+        d AS (
+            SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+                CASE draw WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                unnest(CASE WHEN draw = 3 THEN [1, 2] ELSE [1] END) AS copy FROM k WHERE draw <> 0),
+        o AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+                row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen FROM d),
+        f AS (
+            SELECT conv_id, turn, i, role, text, left(role, 1) AS letter, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+                CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+                    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault FROM o),
+        inserted(st, via, extra, lines) AS (VALUES
+            ('0', '0', '', []), ('0', 'u', 'I', ['user:']), ('0', 'a', 'II', ['user:', 'assistant:']),
+            ('s', 's', '', []), ('s', 'u', 'I', ['user:']), ('s', 'a', 'II', ['user:', 'assistant:']),
+            ('u', 'u', '', []), ('u', 'a', 'I', ['assistant:']), ('a', 'a', '', []), ('a', 'u', 'I', ['user:'])),
+        arc(via, letter, nxt) AS (VALUES ('0', 's', 's'), ('0', 'u', 'u'), ('s', 'u', 'u'), ('u', 'a', 'a'), ('a', 'u', 'u')),
+        moves AS (
+            SELECT st, nxt, arc.letter, kind, 5 * len(extra) + (kind = 'R')::INT AS cost, extra || kind AS audit, lines
+            FROM inserted JOIN arc USING (via), (VALUES ('K'), ('R')) kinds(kind) WHERE kind = 'K' OR arc.letter <> 's'
+            UNION ALL SELECT st, st, '', 'D', 2, 'D', [] FROM (VALUES ('0'), ('s'), ('u'), ('a')) states(st)),
+        r(conv_id, i, st, w) AS (
+            SELECT DISTINCT conv_id, 0::BIGINT, '0', {'c': 0::BIGINT, 'a': '', 't': []::VARCHAR[]} FROM f
+            UNION ALL
+            SELECT r.conv_id, f.i, m.nxt, min({'c': w.c + m.cost + CASE WHEN fault = 'truncated' AND kind <> 'D' THEN 5 ELSE 0 END, 'a': w.a || m.audit,
+                't': w.t || m.lines || CASE kind WHEN 'D' THEN []
+                    WHEN 'K' THEN [role || ':' || text] ELSE [CASE m.letter WHEN 'u' THEN 'user:' ELSE 'assistant:' END || text] END})
+            FROM r JOIN f ON f.conv_id IS NOT DISTINCT FROM r.conv_id AND f.i = r.i + 1 JOIN moves m ON m.st = r.st
+            WHERE kind = 'D' OR (fault IN ('', 'truncated') AND (kind = 'R' OR m.letter = f.letter))
+            GROUP BY r.conv_id, f.i, m.nxt),
+        n AS (
+            SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                count(*) FILTER (fault = 'truncated') AS truncated,
+                count(*) FILTER (before IS NOT NULL AND before || letter NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY 1),
+        best AS (
+            SELECT r.conv_id, min({'c': w.c + 5 * len(extra), 'a': w.a || extra, 't': w.t || lines}) AS w
+            FROM r JOIN n ON n.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = n.n JOIN inserted USING (st) WHERE via IN ('0', 'a') GROUP BY 1)
+        SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+            coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(w.c, 0) AS cost, coalesce(w.a, '') AS audit,
+            sha256(coalesce(array_to_string(w.t, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM c.conv_id
+        LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM c.conv_id""",
 }
