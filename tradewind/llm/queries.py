@@ -15,6 +15,7 @@ from tradewind.llm import (
     quality_forest,
     shard_splitters,
     suffix_decontam,
+    token_alignment,
     token_counts,
     token_file,
 )
@@ -103,6 +104,12 @@ def op10_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = lambda c: F.when(c == "", c).otherwise(F.sha2(c, 256))
+    found = token_alignment.alignment(_table(spark, sf_dir, "documents"), groups=digest)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 def repaired_conversations(turns: DataFrame) -> DataFrame:
     """The report of every conversation of `turns` after damage and repair; one without rows left has zeros."""
     found = conversation_repair.summaries(conversation_repair.repair(conversation_repair.damaged(turns), "conv")).alias("r")
@@ -122,7 +129,7 @@ QUERIES = {
     for f in (
         op1_ngram_jaccard_join, op2_token_counts, op3_pii_anchors, op4_token_files, op5_language_mixture, op6_piece_dropout,
         op7_quality_forest, op8_line_spread, op9_suffix_decontamination, op10_sampled_splitters,
-        op13_conversation_repair)
+        op11_token_alignment, op13_conversation_repair)
 }
 
 _ASCII_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
