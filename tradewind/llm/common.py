@@ -120,3 +120,16 @@ def delete_at_end(spark: SparkSession, path: str) -> None:
     fs = target.getFileSystem(conf)
     fs.mkdirs(target.getParent())
     fs.deleteOnExit(target)
+
+
+HOT_KEYS = 1_000
+
+
+def join_unique(rows: DataFrame, table: DataFrame, key: str, weight: str, how: str = "inner") -> DataFrame:
+    """Joins `rows` with a table of unique keys (inner or left).  `weight` is the number of rows of a key, given in the
+    table: keys with more than a thousandth of all rows, so fewer than HOT_KEYS, are broadcast and never shuffled together."""
+    total = table.agg(F.sum(weight).alias("n"))
+    is_hot = F.col(weight) * HOT_KEYS > total.scalar()
+    hot = table.where(is_hot)
+    return rows.join(F.broadcast(hot), key).unionByName(
+        rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(table.where(~is_hot), key, how))

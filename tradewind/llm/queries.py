@@ -10,6 +10,7 @@ from tradewind.llm import (
     jaccard_join,
     language_mixture,
     line_spread,
+    minhash_dedup,
     piece_dropout,
     pii,
     quality_forest,
@@ -110,6 +111,11 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("groups", "groups_sha256")
 
 
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five-word shingles, similarity 0.85 or more."""
+    return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"), 5, 85, 100)
+
+
 def repaired_conversations(turns: DataFrame) -> DataFrame:
     """The report of every conversation of `turns` after damage and repair; one without rows left has zeros."""
     found = conversation_repair.summaries(conversation_repair.repair(conversation_repair.damaged(turns), "conv")).alias("r")
@@ -129,7 +135,7 @@ QUERIES = {
     for f in (
         op1_ngram_jaccard_join, op2_token_counts, op3_pii_anchors, op4_token_files, op5_language_mixture, op6_piece_dropout,
         op7_quality_forest, op8_line_spread, op9_suffix_decontamination, op10_sampled_splitters,
-        op11_token_alignment, op13_conversation_repair)
+        op11_token_alignment, op12_minhash_dedup, op13_conversation_repair)
 }
 
 _ASCII_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -184,6 +190,21 @@ ORACLE = {
         SELECT d.doc_id, coalesce(len(w), 0) AS n_words, coalesce(covered.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
             coalesce(h, sha256('')) AS items_sha256, coalesce(covered.n > 0 AND 20 * covered.n >= len(w), false) AS contaminated
         FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op12_minhash_dedup": rf"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all({_ASCII_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (
+            SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END)) AS sh FROM w),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+        common AS (
+            SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        links AS (
+            SELECT u, v FROM common JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * c >= 85 * (x.n + y.n - c)),
+        reach AS (SELECT doc_id AS u, doc_id AS v FROM documents UNION SELECT r.u, l.v FROM reach r JOIN links l ON l.u = r.v),
+        m AS (SELECT u, min(v) AS c FROM reach GROUP BY 1)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id, d.doc_id = m.c AS kept
+        FROM documents d LEFT JOIN n USING (doc_id) JOIN m ON m.u = d.doc_id""",
     "op13_conversation_repair": r"""
         WITH RECURSIVE k AS (
             SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,

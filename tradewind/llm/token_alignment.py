@@ -31,14 +31,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import row_function, ship, staged
+from tradewind.llm.common import join_unique, row_function, ship, staged
 
 REMEMBERED = 150_000  # parts kept per worker
 LONGEST_REMEMBERED = 64
 AT_ONCE = 2_000  # texts whose new parts are tokenised together, within a batch of rows
 HELD = 2_000_000  # pair occurrences a task holds before it hands their sums on
 HOT = 400_000  # pairs in the broadcast table, 17 bytes each
-HOT_TEXTS = 1_000
 LOW = 32  # a pair is id of A << LOW | id of B
 MEASURES = ("n_a", "n_b", "n_groups", "n_links")
 ALIGNED = "struct<n_a:bigint,n_b:bigint,n_groups:bigint,n_links:bigint,groups:string,pairs:binary>"
@@ -271,10 +270,6 @@ def alignment(
     texts = staged(aligned_texts(docs, text, files, groups), "aligned-texts")
     found = staged(scored_texts(texts, staged(pair_counts(texts), "pairs")), "measures")
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.unhex(F.sha2(F.col(text).cast("string"), 256)).alias("same"))
-    total = found.agg(F.sum("copies").alias("n"))
-    hot = found.where(F.col("copies") * HOT_TEXTS > total.scalar())  # fewer than HOT_TEXTS texts
-    hot_rows = rows.join(F.broadcast(hot.drop("copies")), "same")
-    other = rows.join(F.broadcast(hot.select("same")), "same", "left_anti").join(found.where(
-        F.col("copies") * HOT_TEXTS <= total.scalar()).drop("copies"), "same", "left")
+    met = join_unique(rows, found, "same", "copies", "left")
     zero = {m: F.coalesce(m, F.lit(0)).cast("bigint").alias(m) for m in (*MEASURES, "n_best", "count_sum")}
-    return hot_rows.unionByName(other).select("doc_id", *zero.values(), F.coalesce("groups", groups(F.lit(""))).alias("groups"))
+    return met.select("doc_id", *zero.values(), F.coalesce("groups", groups(F.lit(""))).alias("groups"))
