@@ -279,3 +279,45 @@ def test_pca_gives_every_customer_a_point(spark):
     names = spark.createDataFrame([(0, "a"), (1, "b")], "cluster int, segment string")
     assert sorted(r.customer_id for r in segment.pca_points(frame, names)[0].select("customer_id").collect()) == list(range(n))
     assert 0 < segment.pca_points(frame, names, fraction=0.5)[0].count() < n
+
+
+def _factors(spark, name, matrix):
+    frame = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(matrix)], "id int, features array<float>")
+    return recommend._factor_rows(frame, name)
+
+
+@pytest.mark.parametrize("blocks", [(7, 10), (64, 256), (5, 1000)])
+def test_masked_top_k_matches_brute_force(spark, blocks):
+    rng = np.random.default_rng(3)
+    u = rng.random((40, 6)).astype(np.float32)
+    v = (rng.random((90, 6)) * rng.exponential(1, (90, 1))).astype(np.float32)
+    v[10], u[3] = v[11], 0.0                                  # ties
+    seen = {(x, y) for x in range(40) for y in rng.choice(90, 5, replace=False).tolist()}
+    seen |= {(0, y) for y in range(45)} | {(1, y) for y in range(84)} | {(2, y) for y in range(90)}
+    found = recommend.masked_top_k(
+        _factors(spark, "uid", u), _factors(spark, "iid", v), spark.createDataFrame(sorted(seen), "uid int, iid int"), 8, *blocks)
+    rows = {}
+    for r in found.collect():
+        rows.setdefault(r.uid, {})[r["rank"]] = (r.iid, round(r.score, 5))
+    scores = (u.astype(float) @ v.astype(float).T).astype(np.float32)
+    for x in range(40):
+        open_ = sorted((y for y in range(90) if (x, y) not in seen), key=lambda y: (-scores[x, y], y))[:8]
+        assert [i for i, _ in (rows.get(x, {}).get(n + 1, (None, 0)) for n in range(len(open_)))] == open_
+        assert len(rows.get(x, {})) == len(open_)
+
+
+def test_masked_top_k_skips_blocks_by_norm(spark):
+    """With falling norms a second pass is asked for by few users only."""
+    rng = np.random.default_rng(4)
+    u = rng.random((30, 4)).astype(np.float32) + 0.5
+    v = ((rng.random((300, 4)) + 0.5) * np.where(np.arange(300) < 60, 10, 0.1)[:, None]).astype(np.float32)
+    looked = []
+    real = recommend._block_tops
+    recommend._block_tops = lambda users, *rest: looked.append(users.count()) or real(users, *rest)
+    try:
+        found = recommend.masked_top_k(
+            _factors(spark, "uid", u), _factors(spark, "iid", v), spark.createDataFrame([(0, i) for i in range(58)], "uid int, iid int"), 5, 8, 50).collect()
+    finally:
+        recommend._block_tops = real
+    assert len(found) == 150
+    assert looked[0] == 30 and looked[1] <= 35                # six blocks for all would be 150 more
