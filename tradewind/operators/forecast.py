@@ -9,14 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.functions.calendar import CALENDAR_FEATURES, with_calendar_features
 from tradewind.functions.exprs import dbl, money_sum, rnd
+from tradewind.operators.forest import fit_forests, predict_forests
+from tradewind.operators.least_squares import least_squares, linear
 from tradewind.operators.metrics import regression_metrics
 from tradewind.sources.scratch import cut_lineage
 
@@ -92,17 +91,11 @@ def seasonal_effects(train: DataFrame) -> DataFrame:
 
 
 def random_forest(trees: int = 120, depth: int = 7, seed: int = 42) -> Seasonality:
-    """One forest over all series (the series is a categorical feature) on the calendar features."""
+    """A forest per series on the calendar features."""
 
     def fit(train: DataFrame) -> Callable[[DataFrame], DataFrame]:
-        model = Pipeline(stages=[
-            StringIndexer(inputCol="series", outputCol="_series", handleInvalid="keep"),
-            VectorAssembler(inputCols=[*CALENDAR_FEATURES, "_series"], outputCol="_features"),
-            RandomForestRegressor(
-                featuresCol="_features", labelCol="resid", predictionCol="season", numTrees=trees, maxDepth=depth,
-                minInstancesPerNode=4, featureSubsetStrategy="0.6", seed=seed),
-        ]).fit(train)
-        return lambda frame: model.transform(frame).drop("_series", "_features")
+        forests = cut_lineage(fit_forests(train, "series", "date", CALENDAR_FEATURES, "resid", trees, depth, seed=seed))
+        return lambda frame: predict_forests(frame, "series", CALENDAR_FEATURES, forests, "season")
 
     return fit
 
@@ -169,26 +162,21 @@ def moving_average(days: DataFrame, holdout: int = HOLDOUT_DAYS, window: int = A
     return test.join(mean, "series").select("series", "date", F.col("value").alias("actual"), "predicted")
 
 
+def calendar_design() -> list[Column]:
+    """Level, years since the start, day of week, month, salary week and sale."""
+    levels = [F.col("dow") == d for d in range(1, 7)] + [F.col("month") == m for m in range(2, 13)]
+    return [F.lit(1.0), F.col("t") / 365.0, *[c.cast("double") for c in levels], dbl("is_salary"), dbl("sale_flag")]
+
+
 def calendar_regression(days: DataFrame, holdout: int = HOLDOUT_DAYS) -> DataFrame:
-    """Linear regression of ln(1 + value) on day index, day of week, month, salary week and sale,
-    with an own level and slope per series."""
-    train, test = split_days(days, holdout)
+    """Linear regression of ln(1 + value) on the calendar design, one fit per series.  Days of the week and months without training
+    days have no effect of their own."""
     start = F.min("date").over(Window.partitionBy("series"))
-    placed = with_calendar_features(days.withColumn("t", dbl(F.datediff("date", start)))).withColumn("y", F.log1p("value"))
-    placed = cut_lineage(placed)
-    edge = days.agg(F.date_sub(F.max("date"), holdout).alias("d")).scalar()
-    names = sorted(r["series"] for r in placed.select("series").distinct().collect())   # tens of names
-    slopes = [f"_t{i}" for i in range(len(names))]
-    placed = placed.withColumns({
-        c: F.when(F.col("series") == n, F.col("t")).otherwise(0.0) for c, n in zip(slopes, names)})
-    model = Pipeline(stages=[
-        StringIndexer(inputCol="series", outputCol="_s", handleInvalid="keep"),
-        OneHotEncoder(inputCols=["dow", "month", "_s"], outputCols=["_dow", "_month", "_series"]),
-        VectorAssembler(inputCols=[*slopes, "_dow", "_month", "_series", "is_salary", "sale_flag"], outputCol="_f"),
-        LinearRegression(featuresCol="_f", labelCol="y", predictionCol="_p"),
-    ]).fit(placed.filter(F.col("date") <= edge))
-    return model.transform(placed.filter(F.col("date") > edge)).select(
-        "series", "date", F.col("value").alias("actual"), F.expm1("_p").alias("predicted"))
+    placed = cut_lineage(with_calendar_features(days.withColumn("t", dbl(F.datediff("date", start)))))
+    train, test = split_days(placed, holdout)
+    fits = least_squares(train, "series", calendar_design(), F.log1p("value")).withColumnRenamed("series", "_series")
+    return test.join(fits, F.col("series").eqNullSafe(F.col("_series"))).select(
+        "series", "date", F.col("value").alias("actual"), F.expm1(linear(calendar_design())).alias("predicted"))
 
 
 def hybrid_backtest(days: DataFrame, season: Seasonality = calendar_means, holdout: int = HOLDOUT_DAYS) -> DataFrame:
