@@ -413,3 +413,25 @@ def test_forests_of_forty_series_don_t_depend_on_partitions(spark):
     plain = {(r.series, r.date): r.value for r in days.collect()}
     error = np.mean([abs(np.log1p(one[k]) - np.log1p(v)) for k, v in plain.items()])
     assert error < 0.12                                       # the noise is 0.08 on average, the weekly swing 0.3
+
+
+def test_pivots_skip_most_pairs_of_clustered_items(spark):
+    from tradewind.operators.similarity import similarity_candidates
+
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(20, 12))
+    m = np.concatenate([c + rng.normal(scale=0.05, size=(50, 12)) for c in centres] + [np.zeros((1, 12)), -centres[:1], centres[:2]])
+    items = spark.createDataFrame([(f"i{i:04}", [float(x) for x in row]) for i, row in enumerate(m)], "item string, features array<double>")
+    n = len(m)
+    compared = similarity_candidates(items, 6, 25).agg(F.sum("compared")).first()[0]
+    assert n < compared < 0.25 * n * (n - 1) / 2
+    unit = m / (np.linalg.norm(m, axis=1, keepdims=True) + 1e-9)
+    sims = np.round(unit @ unit.T, 6)
+    got = {}
+    for r in recommend.similar_items(items, 6, 25).collect():
+        got.setdefault(int(r.item[1:]), {})[r["rank"]] = int(r.similar_item[1:])
+    for i in range(n):
+        want = sorted((j for j in range(n) if j != i), key=lambda j: (-sims[i, j], j))[:6]
+        assert [got[i][x] for x in range(1, 7)] == want
+    assert recommend.similar_items(items.limit(0)).count() == 0
+    assert recommend.similar_items(items.limit(1)).count() == 0
