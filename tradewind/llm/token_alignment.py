@@ -35,7 +35,8 @@ from tradewind.llm.common import join_unique, row_function, ship, staged
 
 REMEMBERED = 150_000  # parts kept per worker
 LONGEST_REMEMBERED = 64
-AT_ONCE = 2_000  # texts whose new parts are tokenised together, within a batch of rows
+AT_ONCE = 500  # texts whose new parts are tokenised together, within a batch of rows
+BUNDLE = 100  # parts that go to the tokenizers as one text
 HELD = 2_000_000  # pair occurrences a task holds before it hands their sums on
 HOT = 400_000  # pairs in the broadcast table, 17 bytes each
 LOW = 32  # a pair is id of A << LOW | id of B
@@ -64,7 +65,10 @@ class Aligner:
         self.a = Tokenizer.from_file(a)
         self.a.encode_special_tokens = True
         signs = byte_of_sign()
-        self.a_bytes = {i: bytes(map(signs.__getitem__, t)) for t, i in self.a.get_vocab(with_added_tokens=False).items() if all(c in signs for c in t)}
+        self.a_bytes = [b""] * self.a.get_vocab_size(with_added_tokens=True)
+        for token, i in self.a.get_vocab(with_added_tokens=False).items():
+            if all(c in signs for c in token):
+                self.a_bytes[i] = bytes(map(signs.__getitem__, token))
         self.b = sentencepiece.SentencePieceProcessor(model_file=b)
         self.b_bytes: list[bytes] = []
         for i in range(self.b.get_piece_size()):
@@ -72,6 +76,9 @@ class Aligner:
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(SPACE, " ").encode())
             if SPACE in piece.lstrip(SPACE):
                 raise ValueError("a piece of the second vocabulary reaches over the beginning of a word")
+        self.a_size, self.b_size = (np.array(list(map(len, x))) for x in (self.a_bytes, self.b_bytes))
+        numbers = np.array([str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))], object)
+        self.with_sign = {sign: numbers + sign for sign in ",|;"}
         self.known: dict[str, tuple | None] = {}
 
     @staticmethod
@@ -85,34 +92,51 @@ class Aligner:
 
     def align(self, parts: list[str]) -> list[tuple | None]:
         """For each part (n_a, n_b, n_groups, n_links, groups, pairs); None if a tokenizer doesn't restore it."""
-        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)]
-        ids_b = self.b.encode(parts, num_threads=1)
-        return [self.aligned((" " + p).encode("utf-8", "surrogatepass"), a, b) for p, a, b in zip(parts, ids_a, ids_b)]
-
-    def aligned(self, body: bytes, a: list[int], b: list[int]) -> tuple | None:
-        bytes_a = [self.a_bytes.get(i, b"") for i in a]
-        bytes_b = [self.b_bytes[i] for i in b]
-        if b"".join(bytes_a) != body or b"".join(bytes_b) != body:
-            return None
-        groups, pairs, i, j, first_i, first_j = [], [], 0, 0, 0, 0
-        end_a, end_b = len(bytes_a[0]), len(bytes_b[0])
-        while True:
-            pairs.append(a[i] << LOW | b[j])
-            step_a, step_b = end_a <= end_b, end_b <= end_a
-            if step_a:
-                i += 1
-            if step_b:
-                j += 1
-            if step_a and step_b:
-                groups.append(",".join(map(str, a[first_i:i])) + "|" + ",".join(map(str, b[first_j:j])))
-                if i == len(a):
-                    break
-                first_i, first_j = i, j
-            if step_a:
-                end_a += len(bytes_a[i])
-            if step_b:
-                end_b += len(bytes_b[j])
-        return len(a), len(b), len(groups), len(pairs), ";".join(groups), np.array(pairs, np.int64).tobytes()
+        odd = [p for p in parts if not p or p[0].isspace() or p[-1].isspace()]
+        plain = list(set(parts).difference(odd))
+        bundles = [[p] for p in odd] + [plain[i : i + BUNDLE] for i in range(0, len(plain), BUNDLE)]
+        found = self._bundles(bundles)
+        return [found[p] for p in parts]
+
+    def _bundles(self, bundles: list[list[str]]) -> dict[str, tuple | None]:
+        """Aligns bundles of parts.  A bundle is one text to the tokenizers, as both begin a token at the spaces between its parts."""
+        texts = [" ".join(b) for b in bundles]
+        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        ids_b = self.b.encode(texts, num_threads=1)
+        good, again, out = [], [], {}
+        for k, (bundle, text, a, b) in enumerate(zip(bundles, texts, ids_a, ids_b)):
+            body = (" " + text).encode("utf-8", "surrogatepass")
+            if b"".join(map(self.a_bytes.__getitem__, a)) == body and b"".join(map(self.b_bytes.__getitem__, b)) == body:
+                good.append(k)
+            elif len(bundle) == 1:
+                out[bundle[0]] = None
+            else:
+                again += [[p] for p in bundle]
+        if good:
+            out |= self._aligned([p for k in good for p in bundles[k]], [i for k in good for i in ids_a[k]], [i for k in good for i in ids_b[k]])
+        return out | self._bundles(again) if again else out
+
+    def _aligned(self, parts: list[str], a: list[int], b: list[int]) -> dict[str, tuple]:
+        """Aligns parts whose tokens follow each other, by the byte offsets at which tokens end."""
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        ends_a, ends_b = self.a_size[a].cumsum(), self.b_size[b].cumsum()
+        part_ends = np.array([1 + len(p.encode("utf-8", "surrogatepass")) for p in parts]).cumsum()
+        # between two neighbouring ends of either kind lie bytes of one token of A and one of B: a link
+        ends = np.union1d(ends_a, ends_b)
+        pairs = (a[np.searchsorted(ends_a, ends)] << LOW | b[np.searchsorted(ends_b, ends)]).tobytes()
+        group_ends = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(group_ends, ends_a), np.searchsorted(group_ends, ends_b)
+        sign = self.with_sign
+        signed = np.concatenate((
+            np.where(group_ends[group_a] == ends_a, sign["|"][a], sign[","][a]), np.where(group_ends[group_b] == ends_b, sign[";"][b], sign[","][b])))
+        signed = signed[np.argsort(np.concatenate((2 * group_a, 2 * group_b + 1)), kind="stable")].tolist()
+        bounds = [np.searchsorted(e, part_ends, side="right").tolist() for e in (ends_a, ends_b, group_ends, ends)]
+        out, before = {}, (0, 0, 0, 0)
+        for part, *now in zip(parts, *bounds):
+            text = "".join(signed[before[0] + before[1] : now[0] + now[1]])
+            out[part] = (*(y - x for x, y in zip(before, now)), text[:-1], pairs[8 * before[3] : 8 * now[3]])
+            before = now
+        return out
 
     def texts(self, texts: list[str]) -> list[tuple[int, int, int, int, str, np.ndarray]]:
         cuts = [self.parts(t) if t else [] for t in texts]
