@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -177,3 +178,66 @@ def test_document_batches_reach_the_sink(spark, tmp_path):
     sinks.foreach_document_batch(spark.range(25).repartition(2), send, "id", batch=10)
     sizes = [int(p.read_text()) for p in tmp_path.iterdir()]
     assert sum(sizes) == 25 and max(sizes) <= 10
+
+
+def test_rare_duplicates_leave_the_same_survivors(spark):
+    rng = random.Random(3)
+    rows = [(k, rng.choice(["a", "b", None]), rng.choice([1, 2, None])) for k in [*range(60), *[rng.randrange(60) for _ in range(25)], *[7] * 40, None, None]]
+    df = spark.createDataFrame(rows, "k int, v string, w int")
+    key = lambda d: sorted(map(str, d.collect()))
+    assert key(clean.dedupe_rare(df, ["k"])) == key(clean.dedupe(df, ["k"]))
+    assert key(clean.dedupe_rare(df, ["k", "v"])) == key(clean.dedupe(df, ["k", "v"]))
+    assert key(clean.dedupe_rare(df, ["k", "v", "w"])) == key(clean.dedupe(df, ["k", "v", "w"]))
+
+
+def test_fact_rows_are_not_sorted_for_duplicates(spark):
+    """Only repeated rows, those behind the semi join, reach the sorting aggregate."""
+    df = spark.range(1000).selectExpr("id as k", "cast(id as string) as v").repartition(4)
+    lines = clean.dedupe_rare(df, ["k"])._jdf.queryExecution().executedPlan().toString().splitlines()
+    sorts = [i for i, line in enumerate(lines) if "SortAggregate" in line or " Sort " in line]
+    semi = next(i for i, line in enumerate(lines) if "LeftSemi" in line)
+    anti = next(i for i, line in enumerate(lines) if "LeftAnti" in line)
+    assert sorts and all(anti < i < semi for i in sorts)
+
+
+def _plain_sessions(rows, gap):
+    """rows: (customer, seconds, event_id); sorted list of (customer, start, events, id)."""
+    out, by = [], {}
+    for c, t, e in rows:
+        if c is None:
+            out.append((None, t, 1, f"event-{e}"))
+        else:
+            by.setdefault(c, []).append(t)
+    for c, times in by.items():
+        no, last = 0, None
+        for t in sorted(times):
+            if last is None or t - last >= gap:
+                no += 1
+                out.append([c, t, 0, f"{c}-{no}"])
+            out[-1][2] += 1
+            last = t
+    return sorted(map(tuple, out), key=str)
+
+
+@pytest.mark.parametrize("partitions", [1, 7, 40])
+def test_sessions_of_a_hot_customer_cross_ranges(spark, partitions):
+    rng = random.Random(partitions)
+    gap = 600
+    hot = sorted(rng.sample(range(0, 900_000), 700))
+    rows = [("hot", t) for t in hot] + [(f"c{rng.randrange(40)}", rng.randrange(20_000)) for _ in range(500)]
+    rows += [(None, rng.randrange(5_000)) for _ in range(30)] + [("later", 10), ("later", 10 + gap), ("later", 9 + gap)]
+    rows = [(c, t, i) for i, (c, t) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "customer_id string, t long, event_id int").selectExpr(
+        "customer_id", "timestamp_seconds(t) as event_time", "event_id", "'product_view' as event_type", "'d' as device", "'s' as traffic_source")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = silver.sessionise(df, gap).selectExpr("customer_id", "unix_seconds(start_time) as t", "events", "session_id").collect()
+        slots = df.filter("customer_id is not null").groupBy("customer_id", "event_time").agg(F.min("event_time").alias("start_time"))
+        spread = silver.sorted_ranges(slots).filter("customer_id = 'hot'").select("_part").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sorted(map(tuple, found), key=str) == _plain_sessions(rows, gap)
+    assert spread >= min(partitions, 4) // 2 + 1 if partitions > 1 else spread == 1

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions.calendar import month_key, period_start
 from tradewind.functions.exprs import money_sum, pct, ratio, rnd
+from tradewind.operators import distinct
 from tradewind.operators.ranking import top_n, unpivot, upper_medians
 from tradewind.operators.segment import segment_actions
 
@@ -31,9 +32,12 @@ def between(df: DataFrame, start: Column | str | None, end: Column | str | None,
 
 
 def sales_trend(
-    daily: DataFrame, granularity: str = "day", start=None, end=None, category: str | None = None,
+    daily: DataFrame, granularity: str = "day", start=None, end=None, category: str | None = None, buyers: DataFrame | None = None,
 ) -> DataFrame:
-    """Periods of daily (or day x category) sales, plus one totals row (`is_total`)."""
+    """Periods of daily (or day x category) sales, plus one totals row (`is_total`).
+
+    `buyers`, the sets of customer ids by date (`distinct.id_words`), gives `customers`: distinct in each period and in
+    all, which daily counts can't be added up to."""
     days = between(daily, start, end)
     if category is not None:
         days = days.filter(F.col("category") == category)
@@ -42,9 +46,19 @@ def sales_trend(
         F.grouping("period").cast("int").alias("is_total"), F.sum("revenue").alias("revenue"),
         F.sum("orders").alias("orders"), F.sum("units").alias("units"), F.sum("profit").alias("profit"),
         F.countDistinct("date").alias("days"))
-    return rolled.select(
+    trend = rolled.select(
         "period", "is_total", rnd("revenue", 2).alias("revenue"), "orders", "units", rnd("profit", 2).alias("profit"),
         "days", F.coalesce(rnd(ratio("revenue", "orders"), 2), F.lit(0.0)).alias("aov"))
+    if buyers is None:
+        return trend
+    sets = between(buyers, start, end)
+    if category is not None:
+        sets = sets.filter(F.col("category") == category)
+    in_period = distinct.merged(sets, [period_start(granularity, "date").alias("_period")])
+    counts = distinct.set_sizes(in_period, ["_period"], "_n")
+    everyone = distinct.merged(in_period, []).agg(F.sum(F.bit_count("bits"))).scalar()
+    return trend.join(counts, F.col("period") == F.col("_period"), "left").withColumn(
+        "customers", F.coalesce(F.when(F.col("is_total") == 1, everyone).otherwise(F.col("_n")), F.lit(0)).cast("bigint")).drop("_period", "_n")
 
 
 def categories_in_period(daily_category: DataFrame, by_category: DataFrame, start=None, end=None) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions.exprs import MONEY, flag, is_revenue
 from tradewind.functions.calendar import month_key
+from tradewind.sources.scratch import cut_lineage
 
 
 def as_of_date(orders: DataFrame) -> DataFrame:
@@ -108,19 +109,50 @@ def sessionise(events: DataFrame, gap_seconds: int = 1800) -> DataFrame:
     """Sessions of a click-stream without ids: a new one starts after `gap_seconds` of silence.
 
     Two events of a customer inside one time slot of length `gap_seconds` are always in the same
-    session, so events are first summed per (customer, slot), map-side; only the slot summaries
-    are ordered per customer.  A customer with a third of all events costs a third of the scan
-    but not a third of the sort.
+    session, so events are first summed per (customer, slot), map-side.  The slot summaries are sorted by range
+    partition, so a customer with a third of all events lies in several tasks; each finds the silences inside its range, and what
+    crosses a range's end is stitched from one summary per range.  An event without a customer is a session of its own.
     """
     micros = gap_seconds * 1_000_000
-    slots = events.groupBy(
+    known = events.filter(F.col("customer_id").isNotNull())
+    slots = known.groupBy(
         "customer_id", F.floor(F.unix_micros("event_time") / F.lit(micros)).alias("_slot"),
     ).agg(*_session_measures())
-    by_time = Window.partitionBy("customer_id").orderBy("start_time")
-    silence = F.unix_micros("start_time") - F.unix_micros(F.lag("end_time").over(by_time))
-    starts = slots.withColumn("_new", flag(F.coalesce(silence >= micros, F.lit(True))))
-    numbered = starts.withColumn("session_no", F.sum("_new").over(by_time))
+    numbered = _numbered_sessions(slots, micros)
     rolled = numbered.groupBy("customer_id", "session_no").agg(*_merge_measures())
-    return _finish_sessions(rolled.withColumn(
-        "session_id", F.concat_ws("-", F.col("customer_id").cast("string"), F.col("session_no").cast("string"))
-    )).drop("session_no")
+    own = rolled.withColumn("session_id", F.concat_ws("-", F.col("customer_id").cast("string"), F.col("session_no").cast("string")))
+    unknown = events.filter(F.col("customer_id").isNull()).groupBy("event_id").agg(*_session_measures()).select(
+        F.lit(None).cast(dict(events.dtypes)["customer_id"]).alias("customer_id"), F.lit(None).cast("bigint").alias("session_no"),
+        *[c for c in rolled.columns if c not in ("customer_id", "session_no")],
+        F.concat_ws("-", F.lit("event"), F.col("event_id").cast("string")).alias("session_id"))
+    return _finish_sessions(own.unionByName(unknown)).drop("session_no")
+
+
+def sorted_ranges(slots: DataFrame) -> DataFrame:
+    """Slot summaries in the order (customer, time), with their range `_part`.  Materialised once, as range bounds are sampled."""
+    ordered = cut_lineage(slots.orderBy("customer_id", "start_time").withColumn("_pos", F.monotonically_increasing_id()))
+    return ordered.withColumn("_part", F.shiftright("_pos", 33))
+
+
+def _numbered_sessions(slots: DataFrame, micros: int) -> DataFrame:
+    """Slots with `session_no`, counted per customer over all ranges."""
+    placed = sorted_ranges(slots)
+    inside = Window.partitionBy("_part", "customer_id").orderBy("_pos")
+    silent = lambda before: F.unix_micros("start_time") - F.unix_micros(before) >= micros
+    # null for the first slot of a customer in a range: that depends on earlier ranges
+    marked = placed.withColumn("_new", silent(F.lag("end_time").over(inside)))
+    runs = marked.groupBy("_part", "customer_id").agg(
+        F.min("_pos").alias("_at"), F.min("start_time").alias("start_time"), F.max("end_time").alias("_end"), F.sum(flag(F.col("_new"))).alias("_inner"))
+    # only the first and the last customer of a range can be in another one too: two rows a range
+    edges = Window.partitionBy("_part")
+    touching = cut_lineage(runs.withColumns({"_first": F.min("_at").over(edges), "_last": F.max("_at").over(edges)}).filter(
+        (F.col("_at") == F.col("_first")) | (F.col("_at") == F.col("_last"))))
+    earlier = Window.partitionBy("customer_id").orderBy("_part")
+    starts = touching.withColumn("_new", flag(F.coalesce(silent(F.lag("_end").over(earlier)), F.lit(True))))
+    before = F.coalesce(F.sum(F.col("_new") + F.col("_inner")).over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    stitched = starts.select("_part", "customer_id", F.col("_new").alias("_begins"), before.alias("_before"))
+    total = F.sum(flag(F.col("_new"))).over(inside)
+    # two rows a range: a proven bound for the broadcast
+    return marked.join(F.broadcast(stitched), ["_part", "customer_id"], "left").withColumn(
+        "session_no", (total + F.coalesce("_begins", F.lit(1)) + F.coalesce("_before", F.lit(0))).cast("bigint")).drop(
+        "_part", "_pos", "_new", "_begins", "_before")

@@ -262,6 +262,28 @@ def hybrid(p: str, value: str, train: str, frame: str) -> list[str]:
     ]
 
 
+# normal equations summed per series and swept column by column; a column that depends on earlier ones gets coefficient 0
+LEAST_SQUARES = [
+    calendar("days", "lcal"),
+    f"""designed AS (
+  SELECT series, date, {dbl('revenue')} AS v, list_concat(
+    [1.0::DOUBLE, datediff('day', min(date) OVER (PARTITION BY series), date) / 365.0::DOUBLE],
+    list_transform(range(1, 7), lambda d: (dow = d)::INT::DOUBLE), list_transform(range(2, 13), lambda m: (month = m)::INT::DOUBLE),
+    [is_salary::DOUBLE, sale_flag::DOUBLE]) AS x FROM lcal)""",
+    """crossed AS (
+  SELECT series, i, j, sum(z[i] * z[j]) AS s
+  FROM (SELECT series, list_append(x, ln(1 + v)) AS z FROM designed, edges WHERE date <= e), range(1, 23) a(i), range(1, 23) b(j) GROUP BY ALL)""",
+    """gram AS (
+  SELECT series, list(r ORDER BY i) AS m FROM (SELECT series, i, list(s ORDER BY j) AS r FROM crossed GROUP BY 1, 2) GROUP BY 1)""",
+    """swept(series, k, m, squares, kept) AS (
+  SELECT series, 0, m, list_transform(range(1, 22), lambda i: m[i][i]), []::BOOLEAN[] FROM gram
+  UNION ALL
+  SELECT series, k + 1, CASE WHEN m[k + 1][k + 1] <= 1e-9 * squares[k + 1] THEN m ELSE
+    list_transform(range(1, 23), lambda i: CASE WHEN i = k + 1 THEN list_transform(range(1, 23), lambda j: m[k + 1][j] / m[k + 1][k + 1])
+      ELSE list_transform(range(1, 23), lambda j: m[i][j] - m[i][k + 1] * m[k + 1][j] / m[k + 1][k + 1]) END) END,
+    squares, list_append(kept, m[k + 1][k + 1] > 1e-9 * squares[k + 1]) FROM swept WHERE k < 21)""",
+    "fits AS (SELECT series, list_transform(range(1, 22), lambda i: CASE WHEN kept[i] THEN m[i][22] ELSE 0 END) AS b FROM swept WHERE k = 21)",
+]
 FUTURE = """future AS (
   SELECT series, CAST(unnest(generate_series(max(date) + 1, max(date) + 60, INTERVAL 1 DAY)) AS DATE) AS date FROM days GROUP BY series)"""
 TOTAL = f"total_days AS (SELECT * FROM days WHERE series = '{ALL_SERIES}')"
@@ -408,6 +430,11 @@ ORACLE = {
     "sales_trend_day": sql(trend("day", "daily"), DAILY),
     "sales_trend_week": sql(trend("week", "promo"), DAILY_CAT, "promo AS (SELECT * FROM dcat WHERE category = 'PROMO')"),
     "sales_trend_month": sql(trend("month", "daily"), DAILY),
+    **{f"sales_trend_buyers_{unit}": sql(f"""SELECT t.*, c.customers FROM ({trend(unit, 'daily')}) t JOIN (
+        SELECT CAST(date_trunc('{unit}', order_date) AS DATE) AS p, count(DISTINCT customer_id) AS customers FROM rev
+          WHERE order_date BETWEEN {START} AND {END} GROUP BY 1
+        UNION ALL SELECT NULL, count(DISTINCT customer_id) FROM rev WHERE order_date BETWEEN {START} AND {END}) c
+        ON t.period IS NOT DISTINCT FROM c.p""", DAILY) for unit in ("week", "month")},
     "sales_categories_period": sql(f"""SELECT d.category, {rnd('d.r', 2)} AS revenue, d.units, d.orders, {rnd('d.p', 2)} AS profit,
         coalesce({pct('d.p', 'd.r')}, 0) AS margin_pct, {pct('d.r', '(SELECT sum(revenue) FROM dcat)')} AS share_pct,
         c.return_rate, c.avg_rating, c.avg_discount_pct FROM (
@@ -530,6 +557,8 @@ ORACLE = {
                             DAYS, SALE_DAYS, *hybrid("h", "revenue", "days", "days")),
     "smearing": sql(f"SELECT series, {rnd('smear', 5)} AS smear, {rnd('sigma', 5)} AS sigma FROM h_spread",
                     DAYS, SALE_DAYS, *hybrid("h", "revenue", "days", "days")),
+    "baseline_calendar_regression": sql(f"""SELECT t.series, t.date, t.v AS actual, {rnd('exp(list_sum(list_transform(range(1, 22), lambda i: x[i] * b[i]))) - 1', 2)} AS predicted
+        FROM designed t JOIN fits USING (series) JOIN edges ON t.date > e""", DAYS, SALE_DAYS, *LEAST_SQUARES).replace("WITH ", "WITH RECURSIVE ", 1),
     "baseline_seasonal_naive": sql("SELECT * FROM naive", DAYS, SPLIT, NAIVE),
     "baseline_moving_average": sql(f"SELECT series, date, actual, {rnd('predicted', 4)} AS predicted FROM average",
                                    DAYS, SPLIT, AVERAGE),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tradewind.functions.calendar import with_calendar_features
 from tradewind.functions.exprs import dbl, literal_frame, rnd
 from tradewind.operators import (
-    anomaly, basket, behaviour, churn, features, forecast, metrics, ranking, recommend, registry, sales, segment, serve,
+    anomaly, basket, behaviour, churn, distinct, features, forecast, metrics, ranking, recommend, registry, sales, segment, serve,
 )
 from tradewind.operators.features import CHURN_NUMERIC
 from tradewind.plans.sample import SAMPLE_LOGIT, Sample
@@ -35,6 +35,7 @@ TRUTH = [
 
 # queries that read the silver tables several times
 STAGED = {
+    "sales_trend_buyers_week", "sales_trend_buyers_month", "daily_anomalies_forest",
     "winback_export", "segment_top_customers", "segment_customers", "churn_by_segment", "churn_customers",
     "customer_search", "customer_actions", "feature_medians", "recs_with_fallback", "overview", "product_detail",
     "churn_features", "churn_labels", "risk_bands", "risk_histogram", "clv", "logit_contributions", "what_if_scores",
@@ -114,11 +115,11 @@ def _forest_evaluation(s: Sample) -> DataFrame:
     return forecast.evaluate(days, forecast.hybrid_backtest(days, forecast.random_forest()))
 
 
-def _day_anomalies(s: Sample) -> DataFrame:
+def _day_anomalies(s: Sample, season: forecast.Seasonality = forecast.calendar_means) -> DataFrame:
     days = cut_lineage(s.total_days)
-    money = forecast.fitted_days(forecast.as_value(days, "revenue")).select(
+    money = forecast.fitted_days(forecast.as_value(days, "revenue"), season).select(
         "date", F.col("actual").alias("revenue"), F.col("fitted").alias("expected_revenue"))
-    counts = forecast.fitted_days(forecast.as_value(days, "orders")).select(
+    counts = forecast.fitted_days(forecast.as_value(days, "orders"), season).select(
         "series", "date", F.col("actual").alias("orders"), F.col("fitted").alias("expected_orders"))
     return anomaly.daily_anomalies(counts.join(money, "date"), DAILY_Z)
 
@@ -297,6 +298,8 @@ QUERIES = {
     "sales_trend_week": lambda s: serve.sales_trend(
         sales.sales_daily_category(s.lines), "week", *PERIOD, category="PROMO"),
     "sales_trend_month": lambda s: serve.sales_trend(sales.sales_daily(s.orders), "month", *PERIOD),
+    "sales_trend_buyers_week": lambda s: _trend_with_buyers(s, "week"),
+    "sales_trend_buyers_month": lambda s: _trend_with_buyers(s, "month"),
     "sales_categories_period": lambda s: serve.categories_in_period(
         sales.sales_daily_category(s.lines), sales.sales_by_category(s.lines, s.orders), *PERIOD),
     "product_search": lambda s: serve.search_products(
@@ -385,12 +388,13 @@ QUERIES = {
     "baseline_seasonal_naive": lambda s: forecast.seasonal_naive(_days(s)),
     "baseline_moving_average": lambda s: forecast.moving_average(_days(s)).withColumn(
         "predicted", rnd("predicted", 4)),
-    "baseline_calendar_regression": lambda s: forecast.calendar_regression(_days(s)),
+    "baseline_calendar_regression": lambda s: forecast.calendar_regression(_days(s)).withColumn("predicted", rnd("predicted", 2)),
     "forecast_metrics": lambda s: metrics.regression_metrics(_metric_inputs(s), ["series", "model"]),
     "forecast_intervals": lambda s: forecast.forecast_intervals(_days(s)),
     "forecast_forest": lambda s: forecast.forecast_intervals(_days(s), forecast.random_forest()),
     "forecast_evaluation": _forest_evaluation,
     "daily_anomalies": _day_anomalies,
+    "daily_anomalies_forest": lambda s: _day_anomalies(s, forecast.random_forest()),
     "high_value_orders": lambda s: anomaly.high_value_orders(s.orders, IQR_MULTIPLIER, 40),
     "high_value_all": lambda s: anomaly.high_value_orders(s.orders, IQR_MULTIPLIER),
     "return_abuse": lambda s: anomaly.return_abuse(s.orders, n=40),
@@ -410,6 +414,11 @@ QUERIES = {
 }
 
 
+def _trend_with_buyers(s: Sample, granularity: str) -> DataFrame:
+    buyers = distinct.id_words(sales.revenue_only(s.orders).withColumnRenamed("order_date", "date"), ["date"], "customer_id")
+    return serve.sales_trend(sales.sales_daily(s.orders), granularity, *PERIOD, buyers=buyers)
+
+
 def _found_rules(s: Sample) -> DataFrame:
     return basket.search_rules(_pair_docs(s), "sub_category", PAIR_LIFT, "brand#1", 200).select(
         F.col("antecedent")[0].alias("antecedent"), F.col("consequent")[0].alias("consequent"), "lift")
