@@ -241,3 +241,25 @@ def test_sessions_of_a_hot_customer_cross_ranges(spark, partitions):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert sorted(map(tuple, found), key=str) == _plain_sessions(rows, gap)
     assert spread >= min(partitions, 4) // 2 + 1 if partitions > 1 else spread == 1
+
+
+def test_upsert_rewrites_only_touched_partitions(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows = [(i, f"2024-0{1 + i % 5}", i * 1.0, "x") for i in range(100)] + [(500, None, 1.0, "n")]
+    spark.createDataFrame(rows, "id int, month string, v double, note string").repartition("month").write.partitionBy("month").parquet(path)
+    names = lambda: {str(f.relative_to(path)) for f in (tmp_path / "table").rglob("*.parquet")}
+    before = names()
+    updates = spark.createDataFrame(
+        [(3, None, 30.0), (8, "2024-01", None), (900, "2024-07", 9.0), (901, "2024-02", 9.5), (901, "2024-02", 8.5), (500, None, 5.0)],
+        "id int, month string, v double")
+    sinks.upsert_partitions(spark, path, updates, "id", "month")
+    after = names()
+    assert {f for f in before if "2024-01" in f or "2024-03" in f or "2024-05" in f} == {f for f in after if "2024-01" in f or "2024-03" in f or "2024-05" in f}
+    changed = {f.split("/")[0] for f in before ^ after}
+    assert changed == {"month=2024-04", "month=2024-02", "month=2024-07", "month=__HIVE_DEFAULT_PARTITION__"}
+    got = {r.id: (r.month, r.v, r.note) for r in spark.read.parquet(path).collect()}
+    want = {i: (m, v, n) for i, m, v, n in rows} | {3: ("2024-04", 30.0, "x"), 900: ("2024-07", 9.0, None), 901: ("2024-02", 9.5, None), 500: (None, 5.0, "n")}
+    assert got == want
+    sinks.upsert_partitions(spark, path, updates.limit(0), "id", "month")
+    sinks.upsert_partitions(spark, path, spark.createDataFrame([(7, "z"), (7777, "z")], "id int, note string"), "id", "month", insert=False)
+    assert names() - after and spark.read.parquet(path).filter("note = 'z'").count() == 1 and spark.read.parquet(path).count() == len(want)

@@ -435,3 +435,17 @@ def test_pivots_skip_most_pairs_of_clustered_items(spark):
         assert [got[i][x] for x in range(1, 7)] == want
     assert recommend.similar_items(items.limit(0)).count() == 0
     assert recommend.similar_items(items.limit(1)).count() == 0
+
+
+def test_top_5000_of_a_hot_group_in_two_levels(spark):
+    from tradewind.operators.ranking import top_n
+
+    df = spark.range(40_000).selectExpr("case when id < 30000 then 'hot' else concat('g', id % 3) end as g", "id", "(id * 7919) % 1009 as v")
+    top = top_n(df, ["g"], [F.desc("v"), F.col("id")], 5000)
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("row_number()") == 2 and "hashpartitioning(g" in plan and "_dealt" in plan
+    rows = df.collect()
+    for g in ("hot", "g0", "g1", "g2"):
+        want = sorted((r for r in rows if r.g == g), key=lambda r: (-r.v, r.id))[:5000]
+        got = sorted(((r["rank"], r.id) for r in top.filter(F.col("g") == g).collect()))
+        assert got == [(i + 1, r.id) for i, r in enumerate(want)]

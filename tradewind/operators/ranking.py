@@ -20,9 +20,21 @@ from tradewind.sources.scratch import cut_lineage
 _ROW_BITS = 33
 
 
+GROUP_LIMIT = 1_000   # largest n for which map tasks keep n rows per group before the shuffle
+
+
 def top_n(df: DataFrame, by: list[str], order: list[Column], n: int, rank: str = "rank") -> DataFrame:
-    """The first n rows per group.  `order` must end in a unique key.  Map tasks keep at most n
-    rows per group before the shuffle, so no group reaches one task whole."""
+    """The first n rows per group.  `order` must end in a unique key.
+
+    Up to GROUP_LIMIT rows, map tasks keep at most n rows per group before the shuffle.  Beyond it, two levels do
+    it: a group's rows are dealt out to as many parts as there are shuffle partitions, each part keeps its n best, and those
+    are merged; so no group reaches one task whole.  Rows are dealt by their own hash, so a recomputed task deals them alike."""
+    if n > GROUP_LIMIT:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        hashed = [c for c, t in df.dtypes if "map<" not in t and "variant" not in t]
+        dealt = df.withColumn("_dealt", F.pmod(F.xxhash64(*hashed), F.lit(parts)))
+        within = Window.partitionBy(*by, "_dealt").orderBy(*order)
+        df = dealt.withColumn("_place", F.row_number().over(within)).filter(F.col("_place") <= n).drop("_dealt", "_place")
     w = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= n)
 

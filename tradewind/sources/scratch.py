@@ -37,3 +37,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder for one written table."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """Deletes a written table when the application ends: a query that is still to run may read it until then."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(target.getParent())
+    fs.deleteOnExit(target)

@@ -6,11 +6,12 @@ from collections.abc import Callable, Iterator
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.sources.schemas import TIMESTAMP_FORMAT
+from tradewind.sources.scratch import remove_path, scratch_path
 
 DOCUMENT_BATCH = 2000
 
@@ -100,6 +101,41 @@ def merge_upsert(target: DataFrame, updates: DataFrame, key: str, insert: bool =
     return joined.select(*out)
 
 
+def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, key: str, partition_by: str, insert: bool = True) -> None:
+    """Merges updates into a Parquet table that is partitioned by a column, rewriting only the partitions that hold updated keys.
+
+    An updated row stays in its partition; a new one goes to the partition that its update names (its column
+    may be missing if `insert` is false).  The keys of the table, not its rows, are read to find the partitions;
+    their merged rows are written aside first, so a failed merge leaves the table as it was."""
+    table = spark.read.parquet(path)
+    known = table.join(updates.select(key).distinct(), key, "left_semi").select(key, partition_by)
+    touched = known.select(partition_by)
+    if insert:
+        fresh = updates.join(known.select(key), key, "left_anti")
+        touched = touched.unionByName(fresh.select(F.col(partition_by).cast(dict(table.dtypes)[partition_by]).alias(partition_by)))
+    values = [r[0] for r in touched.distinct().collect()]        # names of partitions, never rows
+    if not values:
+        return
+    named = [v for v in values if v is not None]
+    inside = F.col(partition_by).isin(named) if named else F.lit(False)
+    if len(named) < len(values):
+        inside = inside | F.col(partition_by).isNull()
+    part = table.filter(inside)
+    changes = updates.drop(partition_by) if partition_by in updates.columns else updates
+    merged = merge_upsert(part, changes, key, insert=False)
+    if insert:
+        missing = [c for c in merged.columns if c not in fresh.columns]
+        one = merge_upsert(fresh.select(key, partition_by).limit(0), fresh, key).select(*fresh.columns)
+        merged = merged.unionByName(one.withColumns({c: F.lit(None).cast(dict(merged.dtypes)[c]) for c in missing}))
+    aside = scratch_path(spark, "upsert")
+    merged.write.parquet(aside)
+    try:
+        (spark.read.parquet(aside).repartition(partition_by).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))
+    finally:
+        remove_path(spark, aside)
+
+
 def replace_documents(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """Replaces whole rows by key and inserts new ones (both frames share the columns)."""
     kept = target.join(updates.select(key), key, "left_anti")
