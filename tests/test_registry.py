@@ -45,3 +45,32 @@ def test_totals_agree_across_grains(spark):
     total = lambda key, c="revenue": round(sum(r[c] or 0 for r in q[key](spark, SMALL).collect()), 2)
     assert total("sales_daily") == total("sales_monthly") == total("kpis")
     assert total("sales_by_category") == total("sales_daily_category") == total("sales_by_subcategory")
+
+
+def test_concurrent_versions_are_all_kept(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark.ml.feature import VectorAssembler
+
+    from tradewind.sources.model_store import ModelStore
+
+    root = str(tmp_path / "models")
+    stores = [ModelStore(spark, root) for _ in range(2)]
+    model = VectorAssembler(inputCols=["a"], outputCol="f")
+
+    def write(i):
+        return [stores[i].publish("m", "t", "alg", {"score": 10 * i + j, "gone": None}, {"i": i, "j": j}, model if j == 0 else None) for j in range(8)]
+
+    with ThreadPoolExecutor(2) as pool:
+        made = [v for part in pool.map(write, range(2)) for v in part]
+    assert stores[0].versions("m") == sorted(made) and len(set(made)) == 16
+    assert stores[1].pointer("m") == max(made)
+    assert sorted(r.metrics["score"] for r in stores[0].records().collect()) == sorted(10.0 * i + j for i in range(2) for j in range(8))
+    newest = stores[0].records(latest=True).collect()
+    assert [r.version for r in newest] == [max(made)] and set(newest[0].params) == {"i", "j"}
+    assert stores[0].load("m", VectorAssembler.load, min(made)).getOutputCol() == "f"
+    stores[0].publish("other", "t", "alg", {"x": 1.0}, is_best=True)
+    assert {(r.model, r.metric) for r in stores[1].metrics().collect()} == {("m", "score"), ("other", "x")}
+    assert ModelStore(spark, str(tmp_path / "none")).records().count() == 0
+    import os
+    assert os.listdir(f"{root}/_staging") == [] or all(f.startswith(".") for f in os.listdir(f"{root}/_staging"))

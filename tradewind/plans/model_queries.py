@@ -15,8 +15,10 @@ from tradewind.operators import (
 from tradewind.operators.features import CHURN_NUMERIC
 from tradewind.plans.sample import SAMPLE_LOGIT, Sample
 from tradewind.plans.silver import write_silver
+from tradewind.plans import training
 from tradewind.sources import readers, schemas, sinks
-from tradewind.sources.scratch import cut_lineage, scratch_path
+from tradewind.sources.model_store import ModelStore
+from tradewind.sources.scratch import cut_lineage, remove_at_end, scratch_path
 
 PERIOD = ("1998-03-04", "1999-02-17")
 PAIR_SUPPORT, PAIR_LIFT = 0.002, 0.9
@@ -35,7 +37,7 @@ TRUTH = [
 
 # queries that read the silver tables several times
 STAGED = {
-    "sales_trend_buyers_week", "sales_trend_buyers_month", "daily_anomalies_forest",
+    "sales_trend_buyers_week", "sales_trend_buyers_month", "daily_anomalies_forest", "model_registry",
     "winback_export", "segment_top_customers", "segment_customers", "churn_by_segment", "churn_customers",
     "customer_search", "customer_actions", "feature_medians", "recs_with_fallback", "overview", "product_detail",
     "churn_features", "churn_labels", "risk_bands", "risk_histogram", "clv", "logit_contributions", "what_if_scores",
@@ -211,6 +213,20 @@ def _churn_registry(s: Sample) -> DataFrame:
     return registry.latest_metrics(registry.mark_best(parts[0].unionByName(parts[1]), "auc"))
 
 
+def _model_registry(s: Sample) -> DataFrame:
+    """All models trained on the sample, published and read back from their newest versions."""
+    root = scratch_path(s.spark, "models")
+    remove_at_end(s.spark, root)
+    store = ModelStore(s.spark, root)
+    training.publish_segmentation(s, store)
+    training.publish_churn(s, store)
+    training.publish_recommender(s, store)
+    training.publish_baskets(s, store)
+    training.publish_forecast(s, store)
+    training.publish_anomalies(s, store, _day_anomalies(s, forecast.random_forest()))
+    return store.metrics()
+
+
 # --------------------------------------------------------------------- sources and sinks
 def _csv_roundtrip(s: Sample) -> DataFrame:
     path = scratch_path(s.spark, "orders-csv")
@@ -402,6 +418,7 @@ QUERIES = {
     "anomaly_validation": lambda s: anomaly.validate(_day_anomalies(s), _truth(s)),
     "anomaly_list": lambda s: anomaly.anomaly_list(_feed(s), n=200),
     "latest_model_metrics": _churn_registry,
+    "model_registry": _model_registry,
     # ------------------------------------------------------------------ window primitives
     "win_first_month": lambda s: s.orders.groupBy("customer_id").agg(F.min("order_month").alias("first_month")),
     "win_mom_lag": lambda s: sales.sales_monthly(s.orders).select("month", "mom_growth"),
