@@ -263,3 +263,9 @@ def forecast_window(documents: DataFrame, series: str, history_days: int = 240)
     start = F.greatest(F.size("history") - history_days, F.lit(0)) + 1
     return documents.filter(F.col("series") == series).withColumn(
         "history", F.slice("history", start, F.lit(history_days)))
+
+
+def forecast_index(documents: DataFrame) -> DataFrame:
+    """One line per series: error of the hybrid model, next and last 30 days."""
+    hybrid = F.filter("evaluation", lambda e: e["model"].startswith("Hybrid"))
+    return documents.select("series", hybrid[0]["mape"].alias("mape"), "next_30_days", "last_30_days")

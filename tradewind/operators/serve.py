@@ -185,6 +185,23 @@ def meta(daily: DataFrame, by_category: DataFrame, as_of: Column) -> DataFrame:
         as_of.alias("as_of"), "min_date", "max_date", F.concat_ws(",", categories).alias("categories"))
 
 
+def with_names(meta_row: DataFrame, segments: DataFrame, series: DataFrame) -> DataFrame:
+    """The meta row with the names of all segments and forecast series, sorted (both are short)."""
+    listed = lambda df, c: F.concat_ws(",", df.agg(F.array_sort(F.collect_set(c)).alias("x")).scalar())
+    return meta_row.withColumns({"segments": listed(segments, "segment"), "forecast_series": listed(series, "series")})
+
+
+def overview_rows(parts: dict[str, tuple[DataFrame, str | None, list[str]]]) -> DataFrame:
+    """The landing page in long form: (part, key, measure, value).  A part is a short frame, its key column (None: one row)
+    and its measures; missing values have no row."""
+    out = None
+    for part, (df, key, measures) in parts.items():
+        named = df.select(F.lit(part).alias("part"), (F.col(key) if key else F.lit("all")).cast("string").alias("key"), *measures)
+        rows = unpivot(named, ["part", "key"], measures, "measure").filter(F.col("value").isNotNull())
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def overview(
     kpi: DataFrame, monthly: DataFrame, stats: DataFrame, segments: DataFrame, anomalies: DataFrame,
 ) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tradewind.functions.vocab import SEGMENT_ACTIONS
+from tradewind.functions.vocab import CITY_COORDINATES, SEGMENT_ACTIONS
 from tradewind.operators.churn import label_of
 from tradewind.operators.features import CHURN_NUMERIC, RFM_FEATURES
 from tradewind.operators.forecast import ALL_SERIES, Z80, Z95
@@ -13,7 +13,7 @@ from tradewind.plans.gold_queries import (
     PROFILES,
     SALE_DAYS_SQL as SALE_DAYS,
 )
-from tradewind.plans.model_queries import DAILY_Z, IQR_MULTIPLIER, PAIR_LIFT, PAIR_SUPPORT, PERIOD, SCENARIOS, TRUTH
+from tradewind.plans.model_queries import DAILY_Z, IQR_MULTIPLIER, OVERVIEW, PAIR_LIFT, PAIR_SUPPORT, PERIOD, SCENARIOS, TRUTH
 from tradewind.plans.oracle_base import big, dbl, growth, pct, ratio, rnd, sql
 from tradewind.plans.sample import SAMPLE_LOGIT
 
@@ -600,3 +600,34 @@ ORACLE = {
         FROM psales s JOIN products USING (product_id)) WHERE rank <= 3""", PSTATS),
     "win_ntile": sql("""SELECT customer_id, CAST(ntile(5) OVER (ORDER BY monetary, customer_id) AS INTEGER) AS tile FROM rfm""", RFM),
 }
+
+
+# --------------------------------------------------------------------- composed entries
+ORACLE["forecast_index"] = sql(f"""SELECT m.series, mape, next_30_days, last_30_days FROM dailym m
+    JOIN (SELECT series, {rnd('sum(y)', 2)} AS next_30_days FROM (
+      SELECT series, {rnd('yhat', 2)} AS y, row_number() OVER (PARTITION BY series ORDER BY date) AS i FROM f_pred) WHERE i <= 30 GROUP BY 1) USING (series)
+    JOIN (SELECT series, {rnd('sum(revenue)', 2)} AS last_30_days FROM days, edges WHERE date > last - 30 GROUP BY 1) USING (series)""",
+    DAYS, SALE_DAYS, SPLIT, FUTURE, *hybrid("h", "revenue", "past_days", "test_days"), *hybrid("f", "revenue", "days", "future"),
+    "runs AS (SELECT series, date, revenue AS actual, yhat AS predicted, 'hybrid' AS model FROM h_pred)", REGRESSION)
+ORACLE["anomaly_validation_file"] = ORACLE["anomaly_validation"]
+ORACLE["meta_names"] = f"""SELECT m.*, (SELECT string_agg(segment, ',' ORDER BY segment) FROM ({ORACLE['segment_profile']})) AS segments,
+    (SELECT string_agg(series, ',' ORDER BY series) FROM (SELECT DISTINCT series FROM ({ORACLE['daily_series_filled']}))) AS forecast_series
+    FROM ({ORACLE['meta']}) m"""
+ORACLE["sales_last_90_days"] = f"SELECT * FROM ({GOLD['sales_daily']}) WHERE date BETWEEN (SELECT as_of FROM ({GOLD['as_of_date']})) - 89 AND (SELECT as_of FROM ({GOLD['as_of_date']}))"
+ORACLE["city_coordinates"] = f"""SELECT c.city, c.lat, c.lon, r.revenue FROM (VALUES {', '.join(f"('{c}', {lat}::DOUBLE, {lon}::DOUBLE)" for c, lat, lon in CITY_COORDINATES)}) c(city, lat, lon)
+    LEFT JOIN (SELECT city, revenue FROM ({GOLD['sales_by_city']})) r USING (city)"""
+
+
+def _long(part: str, text: str, key: str | None, measures: list[str]) -> str:
+    named = ", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in measures)
+    name = f"CAST({key} AS VARCHAR)" if key else "'all'"
+    return (f"SELECT '{part}' AS part, key, measure, value FROM (UNPIVOT (SELECT {name} AS key, {named} FROM ({text}))"
+            f" ON {', '.join(measures)} INTO NAME measure VALUE value)")
+
+
+_PAGE = {
+    "kpis": GOLD["kpis"], "monthly": GOLD["sales_monthly"], "categories": GOLD["sales_by_category"], "top_products": GOLD["top_products"],
+    "segments": ORACLE["segment_profile"], "funnel": GOLD["funnel_overall"],
+    "anomalies": f"SELECT * FROM ({ORACLE['daily_anomalies']}) ORDER BY date DESC LIMIT 5",
+    "forecast": f"SELECT * FROM ({ORACLE['forecast_index']}) WHERE series = '{ALL_SERIES}'", "churn": ORACLE["risk_bands"]}
+ORACLE["overview_rows"] = " UNION ALL ".join(_long(part, _PAGE[part], key, measures) for part, (key, measures) in OVERVIEW.items())

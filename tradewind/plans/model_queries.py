@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.functions.calendar import with_calendar_features
+from tradewind.functions.calendar import last_days, with_calendar_features
 from tradewind.functions.exprs import dbl, literal_frame, rnd
 from tradewind.operators import (
     anomaly, basket, behaviour, churn, distinct, features, forecast, metrics, ranking, recommend, registry, sales, segment, serve,
@@ -22,6 +22,19 @@ from tradewind.sources.scratch import cut_lineage, remove_at_end, scratch_path
 
 PERIOD = ("1998-03-04", "1999-02-17")
 PAIR_SUPPORT, PAIR_LIFT = 0.002, 0.9
+PRODUCT_SUPPORT = 0.0001
+# part of the landing page -> its key column and measures
+OVERVIEW = {
+    "kpis": (None, ["revenue", "orders", "customers", "aov", "margin_pct", "repeat_customer_rate", "return_rate", "avg_rating"]),
+    "monthly": ("month", ["revenue", "orders", "customers", "new_customers", "mom_growth"]),
+    "categories": ("category", ["revenue", "orders", "units", "margin_pct", "share_pct"]),
+    "top_products": ("product_id", ["revenue", "units"]),
+    "segments": ("segment", ["customers", "revenue", "revenue_share_pct"]),
+    "funnel": ("step", ["sessions"]),
+    "anomalies": ("date", ["actual", "expected", "z_score"]),
+    "forecast": ("series", ["next_30_days", "last_30_days"]),
+    "churn": ("churn_risk", ["customers", "revenue_12m"]),
+}
 DAILY_Z, IQR_MULTIPLIER = 2.5, 1.5
 SCENARIOS = {
     "baseline": {},
@@ -37,7 +50,9 @@ TRUTH = [
 
 # queries that read the silver tables several times
 STAGED = {
-    "sales_trend_buyers_week", "sales_trend_buyers_month", "daily_anomalies_forest", "model_registry",
+    "sales_trend_buyers_week", "sales_trend_buyers_month", "daily_anomalies_forest", "model_registry", "churn_summary",
+    "churn_importance", "segmentation_curve", "als_grid", "als_recs_with_fallback", "forecast_index", "meta_names", "overview_rows",
+    "product_rules", "anomaly_validation_file",
     "winback_export", "segment_top_customers", "segment_customers", "churn_by_segment", "churn_customers",
     "customer_search", "customer_actions", "feature_medians", "recs_with_fallback", "overview", "product_detail",
     "churn_features", "churn_labels", "risk_bands", "risk_histogram", "clv", "logit_contributions", "what_if_scores",
@@ -178,7 +193,7 @@ def _als_recommendations(s: Sample) -> DataFrame:
 
 
 def _als_similar(s: Sample) -> DataFrame:
-    model, (_, imap), _, _ = _als(s, [(16, 0.05, 15.0)], 5)
+    model, (_, imap), _, _ = _als(s)
     factors = model.itemFactors.join(imap, F.col("id") == F.col("iid")).select(
         F.col("product_id").alias("item"), F.col("features").cast("array<double>").alias("features"))
     return recommend.similar_documents(recommend.similar_items(factors))
@@ -227,6 +242,74 @@ def _model_registry(s: Sample) -> DataFrame:
     return store.metrics()
 
 
+def _churn_summary(s: Sample) -> DataFrame:
+    models = _churn_models(s)
+    scored = churn.with_value(churn.score_customers(models.fitted[models.best], s.current_features))
+    return churn.churn_summary(models, s.labelled, cut_lineage(scored))
+
+
+def _segment_curve(s: Sample) -> DataFrame:
+    found = _segmentation(s)
+    return literal_frame(
+        s.spark, [(c["k"], c["silhouette"], c["wssse"], c["k"] == found.k) for c in found.curve],
+        "k int, silhouette double, wssse double, chosen boolean")
+
+
+def _als_grid(s: Sample) -> DataFrame:
+    scores = _als(s)[2]
+    rows = [("als", g["rank"], g["regParam"], g["alpha"], g["hit_rate"], g["ndcg"], g == scores["best"]) for g in scores["grid"]]
+    rows.append(("popularity", None, None, None, scores["popularity_hit_rate"], scores["popularity_ndcg"], False))
+    return literal_frame(
+        s.spark, rows, "model string, rank int, regParam double, alpha double, hit_rate double, ndcg double, chosen boolean")
+
+
+def _als_with_fallback(s: Sample) -> DataFrame:
+    return recommend.recs_with_fallback(s.customers, _als_recommendations(s), recommend.popular_products(s.lines, s.products))
+
+
+def _forecast_index(s: Sample) -> DataFrame:
+    return forecast.forecast_index(forecast.forecast_documents(_days(s)))
+
+
+def _meta_names(s: Sample) -> DataFrame:
+    row = serve.meta(sales.sales_daily(s.orders), sales.sales_by_category(s.lines, s.orders), s.silver.as_of)
+    return serve.with_names(row, _segments(s), s.days.select("series").distinct())
+
+
+def _overview_rows(s: Sample) -> DataFrame:
+    """The nine parts of the landing page."""
+    latest = _day_anomalies(s).orderBy(F.desc("date")).limit(5)
+    total = _forecast_index(s).filter(F.col("series") == forecast.ALL_SERIES)
+    frames = {
+        "kpis": sales.kpis(s.orders, s.lines, s.customers), "monthly": sales.sales_monthly(s.orders),
+        "categories": sales.sales_by_category(s.lines, s.orders), "top_products": sales.top_products(s.stats),
+        "segments": _segments(s), "funnel": behaviour.funnel_steps(behaviour.funnel_base(s.sessions).filter("dimension = 'all'")),
+        "anomalies": latest, "forecast": total, "churn": churn.risk_distribution(s.valued)}
+    return serve.overview_rows({part: (frames[part], key, measures) for part, (key, measures) in OVERVIEW.items()})
+
+
+def _product_rules(s: Sample) -> DataFrame:
+    """Product rules with names and first categories, and how many itemsets the mining found."""
+    column, _ = basket.LEVELS["product"]
+    mined = basket.mine(features.basket_items(s.lines, column), PRODUCT_SUPPORT)
+    itemsets = mined.freqItemsets.agg(F.count("*").alias("n")).scalar()
+    return basket.rule_documents(basket.rules_of(mined, 1.0), "product", s.products).withColumn("itemsets", itemsets)
+
+
+def _truth_from_file(s: Sample) -> DataFrame:
+    """The planted days as the generator leaves them: one JSON object in a file."""
+    path = scratch_path(s.spark, "truth")
+    remove_at_end(s.spark, path)
+    days = F.array(*[F.struct(F.lit(d).alias("date"), F.lit(r).alias("reason")) for d, r in TRUTH])
+    sinks.write_documents(s.spark.range(1).select(days.alias("planted_anomalies")), path)
+    return readers.read_planted_anomalies(s.spark, path)
+
+
+def _recent_days(s: Sample, days: int = 90) -> DataFrame:
+    start, end = last_days(s.silver.as_of, days)
+    return serve.between(sales.sales_daily(s.orders), start, end)
+
+
 # --------------------------------------------------------------------- sources and sinks
 def _csv_roundtrip(s: Sample) -> DataFrame:
     path = scratch_path(s.spark, "orders-csv")
@@ -349,6 +432,12 @@ QUERIES = {
     "overview": lambda s: serve.overview(
         sales.kpis(s.orders, s.lines, s.customers), sales.sales_monthly(s.orders), s.stats, _segments(s),
         _day_anomalies(s)),
+    "overview_rows": _overview_rows,
+    "meta_names": _meta_names,
+    "forecast_index": _forecast_index,
+    "sales_last_90_days": _recent_days,
+    "city_coordinates": lambda s: sales.city_coordinates(s.spark).join(
+        sales.sales_by_city(s.orders, sales.city_coordinates(s.spark)).select("city", "revenue"), "city", "left"),
     "rule_graph_nodes": lambda s: basket.graph_nodes(_pair_docs(s)),
     "rule_graph_edges": lambda s: basket.graph_edges(_pair_docs(s)),
     # ------------------------------------------------------------------ features
@@ -369,8 +458,11 @@ QUERIES = {
     "segmentation": _segmentation_rows,
     "segment_profile": _segments,
     "pca_points": _segment_points,
+    "segmentation_curve": _segment_curve,
     # ------------------------------------------------------------------ churn
     "churn_model_metrics": lambda s: _churn_models(s).scores,
+    "churn_summary": _churn_summary,
+    "churn_importance": lambda s: _churn_models(s).importance,
     "churn_scores": lambda s: churn.churn_document(_churn_scores(s)),
     "binary_metrics": lambda s: metrics.binary_metrics(_scored_documents(s)),
     "roc_curve": lambda s: metrics.roc_curve(_scored_documents(s)),
@@ -391,9 +483,12 @@ QUERIES = {
     "recommendation_documents": _popularity_documents,
     "als_recommendations": _als_recommendations,
     "als_similar_products": _als_similar,
+    "als_grid": _als_grid,
+    "als_recs_with_fallback": _als_with_fallback,
     "similar_items": lambda s: recommend.similar_items(_items(s)),
     # ------------------------------------------------------------------ baskets
     "fpgrowth_rules": _rule_docs,
+    "product_rules": _product_rules,
     "pair_rules": _pair_rules,
     "bought_together": lambda s: basket.bought_together(_pair_rules(s)),
     # ------------------------------------------------------------------ forecast and anomalies
@@ -416,6 +511,7 @@ QUERIES = {
     "return_abuse": lambda s: anomaly.return_abuse(s.orders, n=40),
     "return_abuse_all": lambda s: anomaly.return_abuse(s.orders),
     "anomaly_validation": lambda s: anomaly.validate(_day_anomalies(s), _truth(s)),
+    "anomaly_validation_file": lambda s: anomaly.validate(_day_anomalies(s), _truth_from_file(s)),
     "anomaly_list": lambda s: anomaly.anomaly_list(_feed(s), n=200),
     "latest_model_metrics": _churn_registry,
     "model_registry": _model_registry,
