@@ -21,7 +21,7 @@ from tradewind.operators import anomaly, basket, behaviour, churn, forecast, rec
 from tradewind.operators.features import basket_items, churn_cutoff, churn_labels, interactions  # noqa: E402
 from tradewind.plans import registry  # noqa: E402
 from tradewind.plans.sample import Sample  # noqa: E402
-from tradewind.plans.silver import LAKE_LAYOUT  # noqa: E402
+from tradewind.plans.silver import TABLES  # noqa: E402
 from tradewind.sources.scratch import cut_lineage  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -52,7 +52,7 @@ def run(df) -> None:
 
 
 def stage_silver(s: Sample) -> None:
-    for name in LAKE_LAYOUT:
+    for name in TABLES:
         getattr(s.silver, name)
 
 

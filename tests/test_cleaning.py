@@ -263,3 +263,37 @@ def test_upsert_rewrites_only_touched_partitions(spark, tmp_path):
     sinks.upsert_partitions(spark, path, updates.limit(0), "id", "month")
     sinks.upsert_partitions(spark, path, spark.createDataFrame([(7, "z"), (7777, "z")], "id int, note string"), "id", "month", insert=False)
     assert names() - after and spark.read.parquet(path).filter("note = 'z'").count() == 1 and spark.read.parquet(path).count() == len(want)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lake_prunes_periods_and_joins_without_shuffle(spark, tmp_path):
+    from tradewind.plans.sample import Sample
+    from tradewind.plans.silver import Lake, write_silver
+
+    root = str(tmp_path / "lake")
+    sample = Sample(spark, "/root/testdata/sf0.001")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    write_silver(spark, sample.silver, root)
+    lake = Lake(spark, root)                                 # as another session would read it
+    assert lake.orders.count() == sample.orders.count() and lake.lines.count() == sample.lines.count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = lake.lines.select("order_id", "revenue").join(lake.orders.select("order_id", "net_amount"), "order_id")
+        assert "Exchange" not in _plan(joined)
+        per_order = lake.lines.groupBy("order_id").agg(F.sum("revenue"))
+        assert "Exchange" not in _plan(per_order)
+        staged = Sample(spark, "/root/testdata/sf0.001", staged=True)
+        both = staged.lines.select("order_id", "revenue").join(staged.orders.select("order_id", "net_amount"), "order_id")
+        assert "Exchange" not in _plan(both) and both.count() == joined.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    days = [F.lit(d).cast("date") for d in ("1996-03-05", "1996-04-02")]
+    part = lake.period("orders", *days)
+    plan = _plan(part)
+    assert "PartitionFilters: [isnotnull(order_month" in plan and "order_month" in plan.split("PartitionFilters")[1]
+    files = {f.split("order_month=")[1][:7] for f in part.inputFiles()}
+    assert {r.order_month for r in part.select("order_month").distinct().collect()} <= {"1996-03", "1996-04"}
+    assert part.count() == sample.orders.filter(F.col("order_date").between(*days)).count() > 0 and files

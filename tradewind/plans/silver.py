@@ -12,13 +12,13 @@ from tradewind.functions.calendar import month_key
 from tradewind.functions.vocab import CITY_COORDINATES, PAYMENT_METHODS
 from tradewind.operators import clean, silver
 from tradewind.sources.readers import Bronze
-from tradewind.sources.sinks import write_lake
+from tradewind.sources.scratch import remove_at_end
+from tradewind.sources.sinks import read_bucketed, write_bucketed, write_lake
 
-# table -> partition column of its Parquet folder
-LAKE_LAYOUT = {
-    "customers": None, "products": None, "orders": "order_month", "lines": "order_month",
-    "events": None, "sessions": None,
-}
+TABLES = ("customers", "products", "orders", "lines", "events", "sessions")
+# facts lie in folders by period and, in each, in buckets by order: table -> (partition column, bucket column)
+LAKE_LAYOUT = {"orders": ("order_month", "order_id"), "lines": ("order_month", "order_id")}
+STAGED_PERIOD = "order_year"   # staged tables serve one run: fewer, larger folders
 
 
 class _AsOf:
@@ -88,41 +88,64 @@ class Silver(_AsOf):
         return self.sessions_of(self.events)
 
 
+def _buckets(spark: SparkSession) -> int:
+    """As many as shuffle partitions: a table of that many buckets joins with a shuffled one bucket by bucket."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 class Lake(_AsOf):
     """The same tables read back from the Parquet lake, with partition pruning and column pruning."""
 
     def __init__(self, spark: SparkSession, root: str):
-        for name in LAKE_LAYOUT:
-            setattr(self, name, spark.read.parquet(f"{root}/{name}"))
+        buckets = spark.read.json(f"{root}/layout").first()["buckets"]
+        for name in TABLES:
+            layout = LAKE_LAYOUT.get(name)
+            path = f"{root}/{name}"
+            setattr(self, name, read_bucketed(spark, path, *layout, buckets) if layout else spark.read.parquet(path))
+
+    def period(self, name: str, start: Column, end: Column) -> DataFrame:
+        """A fact's rows of the days from `start` to `end`; only the folders of their months are read."""
+        month, _ = LAKE_LAYOUT[name]
+        inside = F.col(month).between(month_key(start), month_key(end))
+        return getattr(self, name).filter(inside & F.col("order_date").between(start, end))
 
 
 class Staged(_AsOf):
     """Silver tables for work that reads them many times: each is written to `root` as Parquet when
     first used and read back from there, so it is cleaned and joined once and later scans are
-    pruned to the columns they need."""
+    pruned to the columns they need.  Lines and orders are bucketed by order, so their joins need no shuffle.
+    The files go when the application ends."""
 
     def __init__(self, spark: SparkSession, tables: Silver, root: str):
         self._spark, self._tables, self._root = spark, tables, root
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name not in LAKE_LAYOUT:
+        if name not in TABLES:
             raise AttributeError(name)
         path = f"{self._root}/{name}"
         # the totals come from the written lines, so items are cleaned and priced once
         table = self._tables.orders_from(self.lines) if name == "orders" else getattr(self._tables, name)
-        write_lake(table, path)
-        frame = self._spark.read.parquet(path)
+        remove_at_end(self._spark, path)
+        if name in LAKE_LAYOUT:
+            _, key = LAKE_LAYOUT[name]
+            frame = write_bucketed(
+                table.withColumn(STAGED_PERIOD, F.year("order_date")), path, STAGED_PERIOD, key, _buckets(self._spark)).drop(STAGED_PERIOD)
+        else:
+            write_lake(table, path)
+            frame = self._spark.read.schema(table.schema).parquet(path)
         setattr(self, name, frame)
         return frame
 
 
 def write_silver(spark: SparkSession, tables: Silver, root: str) -> Lake:
     """Writes all silver tables and returns them as read back; items are cleaned and priced once."""
-    lines = tables.lines.withColumn("order_month", month_key("order_date"))
-    write_lake(lines, f"{root}/lines", LAKE_LAYOUT["lines"])
-    write_lake(tables.orders_from(spark.read.parquet(f"{root}/lines")), f"{root}/orders", LAKE_LAYOUT["orders"])
+    buckets = _buckets(spark)
+    spark.range(1).select(F.lit(buckets).alias("buckets")).coalesce(1).write.mode("overwrite").json(f"{root}/layout")
+    lines = write_bucketed(
+        tables.lines.withColumn("order_month", month_key("order_date")), f"{root}/lines", *LAKE_LAYOUT["lines"], buckets)
+    write_bucketed(tables.orders_from(lines), f"{root}/orders", *LAKE_LAYOUT["orders"], buckets)
     for name in ("customers", "products", "events"):
-        write_lake(getattr(tables, name), f"{root}/{name}", LAKE_LAYOUT[name])
+        write_lake(getattr(tables, name), f"{root}/{name}")
     sessions = tables.sessions_of(spark.read.parquet(f"{root}/events"))
-    write_lake(sessions, f"{root}/sessions", LAKE_LAYOUT["sessions"])
+    write_lake(sessions, f"{root}/sessions")
     return Lake(spark, root)
