@@ -149,6 +149,10 @@ def test_churn_models_train_and_score(spark):
     df = spark.createDataFrame(rows, ", ".join(cols))
     small = churn.ChurnSettings(lr_iterations=10, lr_grid=(0.01,), folds=2, trees=5, forest_depth=3, boost_rounds=3, boost_depth=2)
     models = churn.fit_models(df, small)
+    for name, model in models.fitted.items():
+        groups = model.transform(features.with_logs(df, features.CHURN_LOG)).schema["raw_features"].metadata["ml_attr"]["attrs"]
+        slots = [a["name"] for a in sorted((a for g in groups.values() for a in g), key=lambda a: a["idx"])]
+        assert churn.slot_names(model) == slots
     assert models.scores.count() == 3 and models.importance.first().feature == "Days since last order"
     scored = churn.with_value(churn.score_customers(models.fitted[models.best], df.drop("label")))
     assert scored.count() == 300 and scored.filter("churn_probability not between 0 and 1").count() == 0
