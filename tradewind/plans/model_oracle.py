@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tradewind.functions.vocab import CITY_COORDINATES, SEGMENT_ACTIONS
+from tradewind.functions.vocab import CITY_COORDINATES, REASON_GENERIC, REASON_KNOWN, SEGMENT_ACTIONS
 from tradewind.operators.churn import label_of
 from tradewind.operators.features import CHURN_NUMERIC, RFM_FEATURES
 from tradewind.operators.forecast import ALL_SERIES, Z80, Z95
@@ -17,6 +17,7 @@ from tradewind.plans.model_queries import DAILY_Z, IQR_MULTIPLIER, OVERVIEW, PAI
 from tradewind.plans.oracle_base import big, dbl, growth, pct, ratio, rnd, sql
 from tradewind.plans.sample import SAMPLE_LOGIT
 
+BINARY_COLUMNS = ["tp", "fp", "fn", "tn", "auc", "auc_pr", "accuracy", "precision", "recall", "f1"]
 START, END = (f"DATE '{d}'" for d in PERIOD)
 
 
@@ -631,3 +632,19 @@ _PAGE = {
     "anomalies": f"SELECT * FROM ({ORACLE['daily_anomalies']}) ORDER BY date DESC LIMIT 5",
     "forecast": f"SELECT * FROM ({ORACLE['forecast_index']}) WHERE series = '{ALL_SERIES}'", "churn": ORACLE["risk_bands"]}
 ORACLE["overview_rows"] = " UNION ALL ".join(_long(part, _PAGE[part], key, measures) for part, (key, measures) in OVERVIEW.items())
+
+RECOMMENDED = f"""known AS (SELECT DISTINCT customer_id, category FROM rlines),
+recommended AS (
+  SELECT t.customer_id, t.rank, t.product_id, p.product_name, p.category, t.score,
+    CASE WHEN k.category IS NOT NULL THEN {quote(REASON_KNOWN)} || p.category ELSE {quote(REASON_GENERIC)} END AS reason
+  FROM poptop t JOIN products p USING (product_id) LEFT JOIN known k ON k.customer_id = t.customer_id AND k.category = p.category)"""
+ORACLE["recommendation_rows"] = sql("SELECT * FROM recommended", PAIRS, HOLDOUT, POPULAR, RECOMMENDED)
+ORACLE["recs_with_fallback_rows"] = sql(f"""SELECT c.customer_id, r.customer_id IS NULL AS fallback, coalesce(r.rank, b.rank) AS rank,
+    coalesce(r.product_id, b.product_id) AS product_id, coalesce(r.category, b.category) AS category, coalesce(r.reason, b.reason) AS reason
+    FROM customers c LEFT JOIN recommended r USING (customer_id)
+    LEFT JOIN (SELECT rank, product_id, category, reason FROM ({ORACLE['popular_products']})) b ON r.customer_id IS NULL""",
+    PAIRS, HOLDOUT, POPULAR, RECOMMENDED)
+ORACLE["latest_model_metrics"] = f"""SELECT 'document_score' AS model, metric, 'Quality' AS task, 'length score' AS algorithm,
+    TIMESTAMP '2024-01-02' AS trained_at, value, true AS is_best FROM (
+    UNPIVOT (SELECT {', '.join(f"CAST({m} AS DOUBLE) AS {m}" for m in BINARY_COLUMNS)} FROM ({ORACLE['binary_metrics']}))
+    ON {', '.join(BINARY_COLUMNS)} INTO NAME metric VALUE value)"""

@@ -52,7 +52,7 @@ TRUTH = [
 STAGED = {
     "sales_trend_buyers_week", "sales_trend_buyers_month", "daily_anomalies_forest", "model_registry", "churn_summary",
     "churn_importance", "segmentation_curve", "als_grid", "als_recs_with_fallback", "forecast_index", "meta_names", "overview_rows",
-    "product_rules", "anomaly_validation_file",
+    "product_rules", "anomaly_validation_file", "recommendation_rows", "recs_with_fallback_rows",
     "winback_export", "segment_top_customers", "segment_customers", "churn_by_segment", "churn_customers",
     "customer_search", "customer_actions", "feature_medians", "recs_with_fallback", "overview", "product_detail",
     "churn_features", "churn_labels", "risk_bands", "risk_histogram", "clv", "logit_contributions", "what_if_scores",
@@ -204,6 +204,18 @@ def _popularity_documents(s: Sample) -> DataFrame:
     return recommend.recommendation_documents(recommend.recommendation_rows(top, s.products, s.lines))
 
 
+def _popularity_rows(s: Sample) -> DataFrame:
+    """The popularity lists with catalogue fields and reasons, one row per recommendation."""
+    rows = recommend.recommendation_rows(_popular_top(s), s.products, s.lines)
+    return rows.select("customer_id", "rank", "product_id", "product_name", "category", "score", "reason")
+
+
+def _fallback_rows(s: Sample) -> DataFrame:
+    """Every customer's list with fallback, one row per recommendation."""
+    return _with_fallback(s).select("customer_id", "fallback", F.inline("items")).select(
+        "customer_id", "fallback", "rank", "product_id", "category", "reason")
+
+
 def _with_fallback(s: Sample) -> DataFrame:
     return recommend.recs_with_fallback(
         s.customers, _popularity_documents(s), recommend.popular_products(s.lines, s.products))
@@ -481,6 +493,8 @@ QUERIES = {
     "popular_products": lambda s: recommend.popular_products(s.lines, s.products).select(
         "rank", "product_id", "sold", "product_name", "category", "reason"),
     "recommendation_documents": _popularity_documents,
+    "recommendation_rows": _popularity_rows,
+    "recs_with_fallback_rows": _fallback_rows,
     "als_recommendations": _als_recommendations,
     "als_similar_products": _als_similar,
     "als_grid": _als_grid,
