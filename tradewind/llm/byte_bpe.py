@@ -14,6 +14,8 @@ from functools import lru_cache
 import numpy as np
 import regex
 
+from tradewind.llm.common import keep_for
+
 REMEMBERED = 400_000  # words kept per worker; the first that come, so the frequent ones are among them
 LONGEST_REMEMBERED = 64
 GROUP_CHARACTERS = 500_000  # of texts whose new words are tokenised together
@@ -168,6 +170,11 @@ class Words:
 
 
 @lru_cache(maxsize=2)
+def _words(path: str) -> Words:
+    return Words(path)
+
+
 def words(path: str) -> Words:
     """One per worker process and vocabulary, so that what it remembers serves later tasks too."""
-    return Words(path)
+    keep_for("byte_bpe", _words.cache_clear)
+    return _words(path)

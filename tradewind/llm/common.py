@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
+import sys
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -37,6 +40,22 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def keep_for(owner: str, forget: Callable[[], None]) -> None:
+    """Says in a worker that `owner` now remembers things; what other operators left behind in it goes.  A worker is
+    reused by one stage after another, and would else hold the memory of all of them."""
+    others = [k for k in _kept if k != owner]
+    for k in others:
+        _kept.pop(k)()
+    _kept[owner] = forget
+    if others:
+        gc.collect()
+        if sys.platform == "linux":
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 def row_function(
     spark: SparkSession, make: Callable[[], Callable], returns: str, rows: int | None = 1024,
 ) -> Callable[..., Column]:
@@ -102,16 +121,34 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> shift)
 
 
+CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Writes `df` once as Parquet in the shared folder and reads it back: later stages and lost executors
-    start from the files.  They are deleted when the application ends."""
+    start from the files.  They are deleted by `discard`, or when the application ends.  The shuffle files of the write
+    go with its end, as nothing reads them again."""
     from tradewind.sources.scratch import scratch_path
 
     spark = df.sparkSession
     path = scratch_path(spark, name)
     delete_at_end(spark, path)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEANUP_KEY, None)
+    spark.conf.set(CLEANUP_KEY, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP_KEY, before) if before is not None else spark.conf.unset(CLEANUP_KEY)
+    made = spark.read.schema(df.schema).parquet(path)
+    made.staged_at = path
+    return made
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes staged tables that nothing reads any more."""
+    for df in frames:
+        target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def delete_at_end(spark: SparkSession, path: str) -> None:

@@ -32,10 +32,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import fresh, mix64, row_function, ship, staged, utf8
+from tradewind.llm.common import discard, fresh, keep_for, mix64, row_function, ship, staged, utf8
 
 HOT = 100_000  # shingles moved to the end of the order; any number gives the same links
 HOT_LOCAL = 8  # occurrences in one task from which a shingle is counted for that
+SKETCH_SLOTS = 1 << 22  # one byte each
+HELD = 500_000  # such shingles a task holds before it hands their counts on
 BLOCK = 4_096
 HUB_GROUP = 512
 FILTER_BITS = 1 << 25  # bound of the filter that finds the texts of candidates: 4 MB
@@ -64,6 +66,7 @@ def shingles(text: bytes | None, words: int) -> np.ndarray:
     found = text.lower().split() if text else []
     if not found:
         return np.empty(0, np.uint64)
+    keep_for("word_hashes", _hashes.clear)
     h = np.fromiter(map(_hashes.__getitem__, found), np.uint64, len(found))
     size = min(words, len(h))
     total = np.full(len(h) - size + 1, size, np.uint64)
@@ -128,16 +131,21 @@ def _hot_shingles(docs: DataFrame, words: int, num: int, den: int) -> np.ndarray
     def frequent(batches):
         def counted(parts):
             values, n = np.unique(np.concatenate(parts), return_counts=True)
-            often = n >= HOT_LOCAL
-            return pa.RecordBatch.from_arrays(
-                [pa.array(values[often].view(np.int64)), pa.array(n[often].astype(np.int64))], ["shingle", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n.astype(np.int64))], ["shingle", "n"])
 
+        # how often each slot was met, as far as HOT_LOCAL: memory of fixed size, shared slots only change the order
+        met = np.zeros(SKETCH_SLOTS, np.uint8)
         parts, held = [], 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                parts.append(_prefix(shingles(text, words), np.empty(0, np.uint64), num, den))
-                held += len(parts[-1])
-            if held > 4_000_000:
+                found = _prefix(shingles(text, words), np.empty(0, np.uint64), num, den)
+                slot = (found & np.uint64(SKETCH_SLOTS - 1)).astype(np.int64)
+                met[slot] = np.minimum(met[slot] + 1, HOT_LOCAL)
+                often = found[met[slot] >= HOT_LOCAL]
+                if len(often):
+                    parts.append(often)
+                    held += len(often)
+            if held > HELD:
                 yield counted(parts)
                 parts, held = [], 0
         if parts:
@@ -172,7 +180,9 @@ def components(edges: DataFrame) -> DataFrame:
     edges = staged(edges.where("u != v").select("u", "v").distinct(), "edges")
     before = mark(edges)
     while before[0]:
-        edges = staged(step(step(edges, True), False), "edges")
+        next_edges = staged(step(step(edges, True), False), "edges")
+        discard(edges)
+        edges = next_edges
         now = mark(edges)
         if now == before:
             break
@@ -189,12 +199,14 @@ class _Search:
         keys = sets.where("n > 0").select("node", "n", F.explode("prefix").alias("key"))
         shared = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
         # only shingles of two nodes or more go on, and of those only bands of two nodes or more
-        banded = staged(keys.join(shared, "key").distinct(), "shared").withColumn("own", self._band(F.col("n"))).select(
+        met = staged(keys.join(shared, "key").distinct(), "shared")
+        banded = met.withColumn("own", self._band(F.col("n"))).select(
             "key", F.explode(F.array("own", F.col("own") + 1)).alias("band"), "node", "n", "own").withColumn(
             "home", F.col("own") == F.col("band")).drop("own")
         tiles = banded.groupBy("key", "band").agg(
             F.min("node").alias("lo"), F.max("node").alias("hi"), F.max("home").alias("any")).where("lo < hi and any")
         self.members = staged(banded.join(tiles.select(*TILE), TILE), "tiles")
+        discard(met)
         needed = self.members.select("node").distinct()
         owners = sets.groupBy("node").agg(F.min("row").alias("row")).join(needed, "node", "left_semi")
         self.texts = staged(self._texts(docs, owners), "candidate-texts")
@@ -272,6 +284,7 @@ class _Search:
         """Pairs whose sorted shingle arrays intersect in enough.  A hub's text goes once to each group of at most
         about HUB_GROUP partners, partners of a frequent hub are dealt out to several groups."""
         pairs = staged(self.bounded(pairs), "pairs")
+        self.spent = pairs
         many = pairs.groupBy("u").agg(F.count("*").alias("many"))
         dealt = pairs.join(many, "u").select(
             "u", "v", F.pmod(F.xxhash64("v"), F.ceil(F.col("many") / HUB_GROUP)).cast("int").alias("part"))
@@ -380,7 +393,9 @@ class _Search:
         for turn in range(4):
             pairs = self.hubs(comps, turn) if turn < 3 else self.across(comps)
             edges.append(staged(self.verified(pairs), "links"))
+            discard(self.spent)
             comps = components(reduce(DataFrame.union, edges))
+        discard(self.members, self.texts, self.bitmaps, *edges)
         return comps
 
 

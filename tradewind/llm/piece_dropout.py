@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import row_function
+from tradewind.llm.common import keep_for, row_function
 
 DROPOUT = 0.1
 VARIANTS = None
@@ -41,7 +41,7 @@ SEED = 17
 REMEMBERED = 300_000  # parts, chains and chains after skips kept per worker
 SHORT = 64  # symbols up to which a list serves as agenda
 LONGEST_REMEMBERED = 48
-GAPS = 64  # drawn at a time
+GAPS, MOST_GAPS = 32, 2048  # drawn at a time: first, and later in a long text
 NEVER = 1 << 62
 PACKED = "struct<n_pieces:bigint,ids:binary,lossless:boolean>"
 SPACE = "▁"
@@ -112,10 +112,10 @@ class Pieces:
     def _gaps(self, key: int) -> Iterator[int]:
         """Candidates before each one that is skipped."""
         scale = 1 / math.log1p(-self.dropout) if self.dropout < 1 else 0.0
-        first = 0
+        first, more = 0, GAPS
         while True:
-            yield from np.minimum(np.log(_uniform(key, first, GAPS)) * scale, NEVER).astype(np.int64).tolist()
-            first += GAPS
+            yield from np.minimum(np.log(_uniform(key, first, more)) * scale, NEVER).astype(np.int64).tolist()
+            first, more = first + more, min(2 * more, MOST_GAPS)
 
     def cut(self, part: str) -> list[str]:
         """The part cut wherever no piece of the vocabulary has its two neighbouring symbols side by side."""
@@ -274,9 +274,14 @@ class Pieces:
 
 
 @lru_cache(maxsize=2)
+def _pieces(model: str, dropout: float, variants: int | None, seed: int) -> Pieces:
+    return Pieces(model, dropout, variants, seed)
+
+
 def pieces(model: str, dropout: float, variants: int | None, seed: int) -> Pieces:
     """One per worker process and setting, so that remembered parts serve later tasks too."""
-    return Pieces(model, dropout, variants, seed)
+    keep_for("pieces", _pieces.cache_clear)
+    return _pieces(model, dropout, variants, seed)
 
 
 def encode(

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import join_unique, row_function, ship, staged
+from tradewind.llm.common import join_unique, keep_for, row_function, ship, staged
 
 REMEMBERED = 150_000  # parts kept per worker
 LONGEST_REMEMBERED = 64
@@ -159,9 +159,14 @@ class Aligner:
 
 
 @lru_cache(maxsize=1)
+def _aligner(a: str, b: str) -> Aligner:
+    return Aligner(a, b)
+
+
 def aligner(a: str, b: str) -> Aligner:
     """One per worker process and pair of files."""
-    return Aligner(a, b)
+    keep_for("aligner", _aligner.cache_clear)
+    return _aligner(a, b)
 
 
 def default_files() -> tuple[str, str]:
