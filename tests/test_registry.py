@@ -74,3 +74,35 @@ def test_concurrent_versions_are_all_kept(spark, tmp_path):
     assert ModelStore(spark, str(tmp_path / "none")).records().count() == 0
     import os
     assert os.listdir(f"{root}/_staging") == [] or all(f.startswith(".") for f in os.listdir(f"{root}/_staging"))
+
+
+def test_nothing_written_is_left_behind(tmp_path):
+    """A whole application with staged silver, a written round trip and a stored model."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    program = f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).resolve().parent.parent)!r})
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", {str(tmp_path / "shared")!r})
+         .config("spark.sql.shuffle.partitions", "2").config("spark.sql.warehouse.dir", {str(tmp_path / "warehouse")!r}).getOrCreate())
+import __spark_entry__ as entry
+for key in ("io_csv_roundtrip", "smearing"):
+    entry.queries()[key](spark, {SMALL!r}).count()
+spark.stop()
+"""
+    subprocess.run([sys.executable, "-c", program], check=True, cwd=tmp_path, timeout=300)
+    left = [p for p in (tmp_path / "shared").iterdir() if any(f.is_file() for f in p.rglob("*")) and "-" in p.name and not _is_checkpoint(p)]
+    assert left == []
+
+
+def _is_checkpoint(path) -> bool:
+    """Spark's own checkpoint folder of an application, named by a plain UUID."""
+    import uuid
+
+    try:
+        return str(uuid.UUID(path.name)) == path.name
+    except ValueError:
+        return False

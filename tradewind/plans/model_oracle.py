@@ -648,3 +648,5 @@ ORACLE["latest_model_metrics"] = f"""SELECT 'document_score' AS model, metric, '
     TIMESTAMP '2024-01-02' AS trained_at, value, true AS is_best FROM (
     UNPIVOT (SELECT {', '.join(f"CAST({m} AS DOUBLE) AS {m}" for m in BINARY_COLUMNS)} FROM ({ORACLE['binary_metrics']}))
     ON {', '.join(BINARY_COLUMNS)} INTO NAME metric VALUE value)"""
+ORACLE["customer_segments"] = profiles_sql("""SELECT p.customer_id, coalesce(g.segment, p.segment) AS segment, c.prediction AS cluster, s.R, s.F, s.M, s.score
+    FROM profiles p LEFT JOIN segmented g USING (customer_id) LEFT JOIN clustered c USING (customer_id) LEFT JOIN scores s USING (customer_id)""")

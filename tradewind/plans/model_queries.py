@@ -18,7 +18,7 @@ from tradewind.plans.silver import write_silver
 from tradewind.plans import training
 from tradewind.sources import readers, schemas, sinks
 from tradewind.sources.model_store import ModelStore
-from tradewind.sources.scratch import cut_lineage, remove_at_end, scratch_path
+from tradewind.sources.scratch import cut_lineage, scratch_path
 
 PERIOD = ("1998-03-04", "1999-02-17")
 PAIR_SUPPORT, PAIR_LIFT = 0.002, 0.9
@@ -53,6 +53,7 @@ STAGED = {
     "sales_trend_buyers_week", "sales_trend_buyers_month", "daily_anomalies_forest", "model_registry", "churn_summary",
     "churn_importance", "segmentation_curve", "als_grid", "als_recs_with_fallback", "forecast_index", "meta_names", "overview_rows",
     "product_rules", "anomaly_validation_file", "recommendation_rows", "recs_with_fallback_rows",
+    "customer_segments",
     "winback_export", "segment_top_customers", "segment_customers", "churn_by_segment", "churn_customers",
     "customer_search", "customer_actions", "feature_medians", "recs_with_fallback", "overview", "product_detail",
     "churn_features", "churn_labels", "risk_bands", "risk_histogram", "clv", "logit_contributions", "what_if_scores",
@@ -242,9 +243,7 @@ def _churn_registry(s: Sample) -> DataFrame:
 
 def _model_registry(s: Sample) -> DataFrame:
     """All models trained on the sample, published and read back from their newest versions."""
-    root = scratch_path(s.spark, "models")
-    remove_at_end(s.spark, root)
-    store = ModelStore(s.spark, root)
+    store = ModelStore(s.spark, scratch_path(s.spark, "models"))
     training.publish_segmentation(s, store)
     training.publish_churn(s, store)
     training.publish_recommender(s, store)
@@ -260,6 +259,15 @@ def _churn_summary(s: Sample) -> DataFrame:
     return churn.churn_summary(models, s.labelled, cut_lineage(scored))
 
 
+def _customer_segments(s: Sample) -> DataFrame:
+    """Every profile with its segment, cluster and RFM scores; prospects keep theirs."""
+    clustered = s.clustered
+    names = segment.name_clusters(cut_lineage(segment.cluster_profile(clustered)))
+    enriched = segment.customer_segments(
+        s.profiles, segment.assign_segments(clustered, names), features.rfm_scores(s.rfm), s.rfm)
+    return enriched.select("customer_id", "segment", "cluster", "rfm.R", "rfm.F", "rfm.M", "rfm.score")
+
+
 def _segment_curve(s: Sample) -> DataFrame:
     found = _segmentation(s)
     return literal_frame(
@@ -311,7 +319,6 @@ def _product_rules(s: Sample) -> DataFrame:
 def _truth_from_file(s: Sample) -> DataFrame:
     """The planted days as the generator leaves them: one JSON object in a file."""
     path = scratch_path(s.spark, "truth")
-    remove_at_end(s.spark, path)
     days = F.array(*[F.struct(F.lit(d).alias("date"), F.lit(r).alias("reason")) for d, r in TRUTH])
     sinks.write_documents(s.spark.range(1).select(days.alias("planted_anomalies")), path)
     return readers.read_planted_anomalies(s.spark, path)
@@ -471,6 +478,7 @@ QUERIES = {
     "segment_profile": _segments,
     "pca_points": _segment_points,
     "segmentation_curve": _segment_curve,
+    "customer_segments": _customer_segments,
     # ------------------------------------------------------------------ churn
     "churn_model_metrics": lambda s: _churn_models(s).scores,
     "churn_summary": _churn_summary,

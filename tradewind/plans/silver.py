@@ -12,7 +12,6 @@ from tradewind.functions.calendar import month_key
 from tradewind.functions.vocab import CITY_COORDINATES, PAYMENT_METHODS
 from tradewind.operators import clean, silver
 from tradewind.sources.readers import Bronze
-from tradewind.sources.scratch import remove_at_end
 from tradewind.sources.sinks import read_bucketed, write_bucketed, write_lake
 
 TABLES = ("customers", "products", "orders", "lines", "events", "sessions")
@@ -125,7 +124,6 @@ class Staged(_AsOf):
         path = f"{self._root}/{name}"
         # the totals come from the written lines, so items are cleaned and priced once
         table = self._tables.orders_from(self.lines) if name == "orders" else getattr(self._tables, name)
-        remove_at_end(self._spark, path)
         if name in LAKE_LAYOUT:
             _, key = LAKE_LAYOUT[name]
             frame = write_bucketed(

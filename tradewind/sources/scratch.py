@@ -22,7 +22,9 @@ def shared_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir()
     if not sc.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="tradewind-"))
+    own = tempfile.mkdtemp(prefix="tradewind-")
+    remove_at_end(spark, own)
+    sc.setCheckpointDir(own)
     return sc.getCheckpointDir()
 
 
@@ -35,8 +37,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder for one written table."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder for one written table, in a folder that goes when the application ends."""
+    folder = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    remove_at_end(spark, folder)
+    return f"{folder}/{name}"
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
@@ -44,9 +48,9 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def remove_at_end(spark: SparkSession, path: str) -> None:
-    """Deletes a written table when the application ends: a query that is still to run may read it until then."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+def remove_at_end(spark: SparkSession, folder: str) -> None:
+    """Makes a folder that is deleted when the application ends: a query that is still to run may read from it until then."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(target.getParent())
+    fs.mkdirs(target)            # only what exists can be marked
     fs.deleteOnExit(target)
