@@ -32,6 +32,16 @@ def test_corrected_estimate_is_unbiased(common, apart):
         assert all(md.K * (2.0**-md.BITS + (1 - 2.0**-md.BITS) * f) >= md.least_equal(85, 100) for f in found)
 
 
+@pytest.mark.parametrize("common,apart", [(100, 0), (850, 75), (60, 40), (0, 9), (30_000, 9_000)])
+def test_parities_bound_the_overlap(common, apart):
+    rng = np.random.default_rng(apart)
+    x, y = random_sets(rng, common, apart)
+    bound = md.overlap_bound(len(x), len(y), md.parity(x), md.parity(y))
+    assert common <= bound <= common + apart
+    if 0 < apart < 1000:
+        assert bound <= common + 0.5 * apart
+
+
 def test_pairs_at_the_threshold_share_a_band():
     """Of 400 pairs a little above 0.85 none may be lost; few bands alone would lose some."""
     rng = np.random.default_rng(1)

@@ -27,7 +27,8 @@ BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20
 def ship(spark: SparkSession) -> None:
     """Sends this package to the executors once per application, so that their Python workers can import it, and
     lowers the session's bound of Arrow batches to BATCH_BYTES: a worker holds a few of them at a time."""
-    if int(spark.conf.get(BATCH_KEY).rstrip("b")) > BATCH_BYTES:
+    bound = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCH_KEY))
+    if bound <= 0 or bound > BATCH_BYTES:
         spark.conf.set(BATCH_KEY, str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app in _shipped:
@@ -170,3 +171,29 @@ def join_unique(rows: DataFrame, table: DataFrame, key: str, weight: str, how: s
     hot = table.where(is_hot)
     return rows.join(F.broadcast(hot), key).unionByName(
         rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(table.where(~is_hot), key, how))
+
+
+FILTER_BITS = 1 << 25  # 4 MB
+
+
+def maybe_in(rows: DataFrame, column: str, values: DataFrame, among: bool = True) -> DataFrame:
+    """`rows` whose value of a column may be among `values` (one column), or those whose value is surely not: a bitmap of fixed size passes over the rows, so that a join
+    after it shuffles few of the others.  Its share grows with the values; the join drops what comes through by chance."""
+    spark = rows.sparkSession
+    slot = F.pmod(F.xxhash64(values.columns[0]), F.lit(FILTER_BITS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (slot % 64).cast("int"))
+    words = values.select(F.shiftright(slot, 6).alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    table = np.zeros(FILTER_BITS // 64, np.int64)
+    table[words.column("w").to_numpy()] = words.column("b").to_numpy()
+    shared = spark.sparkContext.broadcast(table.view(np.uint64))
+
+    def pick(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        table = shared.value
+        for slots in batches:
+            at = slots.to_numpy(zero_copy_only=False)
+            yield pa.array((table[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool))
+
+    pick.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    chosen = F.arrow_udf(pick, "boolean")
+    met = chosen(F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)))
+    return rows.where(met if among else ~met)

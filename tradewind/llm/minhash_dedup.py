@@ -3,16 +3,17 @@
 A document's set of word shingles is hashed K times; of each minimum all bits go into band keys (BANDS bands of ROWS minima)
 and the low BITS into a packed signature.  Documents with a common band key are candidates.  The share of equal
 low bits, less the 2^-BITS that agree by chance, estimates the similarity; candidates whose estimate is more than
-MARGIN standard errors below the threshold are dropped, the others are confirmed by intersecting the full sets.
+MARGIN standard errors below the threshold are dropped.  The others are confirmed on the full sets: first by the parity
+bits of all shingles, of which every differing one needs a shingle that one side lacks, then by intersecting the sets.
 
 Chance of losing a link, per pair at similarity exactly 0.85: no common band (1 - 0.85^5)^32 = 7e-9, estimate too low
 (5.5 standard errors of 256 minima) about 2e-8; both fall fast above it.  `bands_for` gives the number of bands for other
 thresholds; below 0.75 the K minima don't suffice for MISSED.
 
 Equal sets are one node from the start (128-bit hash of the set).  A bucket, the nodes with one band key, is never paired
-with itself as a whole: rounds link its nodes with one hub of it, if both are still in different components, and merge
-what is confirmed.  Buckets that still hold several components are compared in blocks of BLOCK nodes by bit counts, only across
-components.  Keys that a large share of the rows has (buckets, hubs, copies of one text) are joined by broadcast.
+with itself as a whole: rounds pair each node with one node only, the first in a random order of those that lead one of its buckets,
+if both are still in different components, and merge what is confirmed.  Buckets that still hold several components are compared in blocks of BLOCK nodes by bit counts, only across
+components: the nodes of a bucket's largest component once, against the others.  A pair comes out of the first band that it shares.  Keys that a large share of the rows has (buckets, hubs, copies of one text) are joined by broadcast.
 
 Null, empty and blank texts have no shingles and link with nothing; a text of fewer words than `words` has one shingle.
 Repeated rows are one node.  Rows with a null id join components and get their names; a null never becomes a name unless all ids
@@ -31,8 +32,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import join_unique, mix64, row_function, ship, staged, utf8
-from tradewind.llm.jaccard_join import components, shingles
+from tradewind.llm.common import discard, join_unique, maybe_in, mix64, row_function, ship, staged, utf8
+from tradewind.llm.jaccard_join import components, folded, least_overlap, shingles
 
 K = 256  # minima
 BITS = 4  # low bits kept of each
@@ -42,8 +43,9 @@ MARGIN = 5.5
 CHUNK = 256  # shingles hashed at a time, so that intermediate results stay in a core's cache
 BLOCK = 2_048
 GROUP = 256  # partners of a hub that are confirmed in one group
-ROUNDS = 2
-SKETCH = "struct<n:bigint,node:binary,bands:array<bigint>,signature:binary,packed:binary>"
+ROUNDS = 3
+PARITY_BITS = 1 << 16  # at most, for one node
+SKETCH = "struct<n:bigint,node:binary,bands:array<bigint>,signature:binary,parity:binary,packed:binary>"
 LINK = "u binary, v binary"
 
 
@@ -101,22 +103,36 @@ def least_equal(num: int, den: int) -> int:
     return math.floor(K * (share - MARGIN * math.sqrt(share * (1 - share) / K)))
 
 
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """Parities of how many hashes fall on each bit, in 64-bit words; at least twice as many bits as hashes, as far as PARITY_BITS go."""
+    width = 64
+    while width < 2 * len(hashes) and width < PARITY_BITS:
+        width *= 2
+    odd = np.bincount((hashes & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def overlap_bound(n_x, n_y, x: np.ndarray, y: np.ndarray):
+    """The most shingles that sets of these sizes with these parities (of one width) can share."""
+    return (n_x + n_y - np.bitwise_count(x ^ y).sum(-1, dtype=np.int64)) // 2
+
+
 def sketches(docs: DataFrame, words: int = 5, bands: int | None = None) -> DataFrame:
-    """`docs`, whose column text is binary, with n, node, bands, signature and the packed text; node is null without words."""
+    """`docs`, whose column text is binary, with n, node, bands, signature, parity and the packed text; node is null without words."""
     bands = bands or K // ROWS
 
     def make():
         def one(text):
             found = shingles(text, words)
             if not len(found):
-                return {"n": 0, "node": None, "bands": [], "signature": None, "packed": None}
+                return {"n": 0, "node": None, "bands": [], "signature": None, "parity": None, "packed": None}
             least = minima(found)
             rows = least[: bands * ROWS].reshape(bands, ROWS)
-            keys = np.zeros(bands, np.uint64)
+            keys = np.arange(bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)  # a band's number is part of its keys
             for r in range(ROWS):
                 keys = mix64(keys + rows[:, r] + np.uint64(r))
             return {"n": len(found), "node": xxhash.xxh3_128_digest(found.tobytes()), "bands": keys.view(np.int64),
-                    "signature": packed(least), "packed": zlib.compress(text, 1)}
+                    "signature": packed(least), "parity": parity(found).tobytes(), "packed": zlib.compress(text, 1)}
 
         return lambda texts: [one(t) for t in texts]
 
@@ -124,19 +140,34 @@ def sketches(docs: DataFrame, words: int = 5, bands: int | None = None) -> DataF
     return made.drop("text").select("*", "sketch.*").drop("sketch")
 
 
+def _halves(keys):
+    return [np.array(k, np.int64).astype(np.uint32).tobytes() for k in keys]
+
+
 class _Candidates:
     """Buckets, signatures and texts of one corpus' nodes."""
 
     def __init__(self, sets: DataFrame, num: int, den: int, words: int) -> None:
         self.spark, self.num, self.den, self.words = sets.sparkSession, num, den, words
         rows = sets.where("node is not null")
-        one = staged(rows.groupBy("node").agg(F.min("row").alias("row")).select("row"), "first-rows")
-        own = rows.join(one, "row", "left_semi").select("row", "node", "n", F.posexplode("bands").alias("band", "value"))
-        bucketed = staged(own.select(F.xxhash64("band", "value").alias("key"), "row", "node", "n"), "bands")
-        buckets = bucketed.groupBy("key").agg(F.min("row").alias("lo"), F.max("row").alias("hi"), F.count("*").alias("many")).where("lo < hi")
-        self.members = staged(join_unique(bucketed, buckets.select("key", "many"), "key", "many"), "buckets")
-        needed = self.members.select("row").distinct()
-        self.texts = staged(rows.join(needed, "row", "left_semi").select("node", "n", "signature", "packed"), "candidate-texts")
+        # of equal sets the first row's bands count; only rows of nodes that may repeat are shuffled for that
+        repeated = staged(rows.groupBy("node").agg(F.min("row").alias("first"), F.count("*").alias("copies")).where("copies > 1"), "repeated")
+        banded = rows.select("row", "node", "n", "bands")
+        later = join_unique(maybe_in(rows.select("row", "node"), "node", repeated.select("node")), repeated, "node", "copies").where("row != first")
+        later = staged(later.select("row"), "later-copies")
+        may, not_ = maybe_in(banded, "row", later), maybe_in(banded, "row", later, among=False)
+        own = not_.union(may.join(later, "row", "left_anti"))
+        bucketed = staged(own.select("row", "node", "n", F.explode("bands").alias("key")), "bands")
+        buckets = staged(bucketed.groupBy("key").agg(
+            F.min("row").alias("lo"), F.max("row").alias("hi"), F.count("*").alias("many")).where("lo < hi").select("key", "many"), "shared-bands")
+        self.members = staged(join_unique(maybe_in(bucketed, "key", buckets.select("key")), buckets, "key", "many"), "buckets")
+        needed = staged(self.members.select("row").distinct(), "candidates")
+        # the low halves of band keys tell which bands two nodes share
+        brief = row_function(self.spark, lambda: _halves, "binary")(F.col("bands"))
+        self.texts = staged(
+            maybe_in(rows, "row", needed).join(needed, "row", "left_semi").select(
+                "node", "n", "signature", "parity", brief.alias("brief"), "packed"), "candidate-texts")
+        discard(bucketed, buckets, needed)
 
     def _labelled(self, comps: DataFrame | None) -> DataFrame:
         if comps is None:
@@ -155,19 +186,34 @@ class _Candidates:
             F.count("*").alias("many")).where("lo < hi")
         hub = hub.select("key", F.col("hub.node").alias("u"), F.col("hub.comp").alias("hub_comp"), F.col("hub.n").alias("hub_n"), "many")
         met = join_unique(members.drop("many"), hub, "key", "many").where(F.col("comp") != F.col("hub_comp")).where(self._sized("n", "hub_n"))
-        return met.select("u", F.col("node").alias("v")).distinct()
+        first = F.min(F.struct(F.hash("u", F.lit(turn)).alias("rank"), "u"))
+        return met.groupBy(F.col("node").alias("v")).agg(first.alias("first")).select("first.u", "v")
 
     def across(self, comps: DataFrame | None) -> DataFrame:
         """Pairs of nodes of one bucket but different components that their signatures allow."""
         members = self._labelled(comps)
-        mixed = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-        rows = members.join(mixed, "key", "left_semi").join(self.texts.select("node", "signature"), "node")
-        blocks = F.ceil(F.col("many") / BLOCK).cast("int")
-        own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-        dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
-            "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("second"),
-            "n", "node", "comp", "signature")
-        dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n", "node")
+        per_comp = members.groupBy("key", "comp").agg(F.count("*").alias("n_comp"))
+        mixed = per_comp.groupBy("key").agg(
+            F.count("*").alias("comps"), F.max(F.struct("n_comp", "comp")).alias("main"), F.sum("n_comp").alias("all")).where("comps > 1").select(
+            "key", "all", F.col("main.comp").alias("main"), F.ceil(F.col("main.n_comp") / BLOCK).cast("int").alias("main_blocks"),
+            F.ceil((F.col("all") - F.col("main.n_comp")) / BLOCK).cast("int").alias("other_blocks"))
+        rows = join_unique(members.drop("many"), mixed, "key", "all").withColumn("is_main", F.col("comp") == F.col("main"))
+        columns = ["n", "node", "comp"]
+        dealt = lambda blocks: F.pmod(F.xxhash64("node"), F.col(blocks)).cast("int")
+        upto = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+        # kind 0: every block of the largest component's nodes meets every block of the others; kind 1: those meet each other
+        kind = lambda k: F.lit(k).alias("kind")
+        main = rows.where("is_main").select(
+            "key", kind(0), dealt("main_blocks").alias("i"), upto("other_blocks").alias("j"), F.lit(True).alias("second"), *columns)
+        against = rows.where("not is_main").select(
+            "key", kind(0), upto("main_blocks").alias("i"), dealt("other_blocks").alias("j"), F.lit(False).alias("second"), *columns)
+        own = rows.where("not is_main").withColumn("own", dealt("other_blocks")).withColumn("other", upto("other_blocks")).select(
+            "key", kind(1), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("second"),
+            *columns)
+        group = ["key", "kind", "i", "j"]
+        pieces = main.union(against).union(own).join(self.texts.select("node", "signature", "parity", "brief"), "node").select(
+            *group, "second", *columns, "signature", "parity", "brief")
+        pieces = pieces.repartition(*group).sortWithinPartitions(*group, "n", "node")
         num, den, least = self.num, self.den, least_equal(self.num, self.den)
 
         def close(block, rows):
@@ -179,15 +225,30 @@ class _Candidates:
             node = [r[2] for r in rows]
             comp = np.array([number[r[3]] for r in rows])
             bits = planes([r[4] for r in rows])
+            brief = np.array([np.frombuffer(r[6], np.uint32) for r in rows])
+            # this bucket's band: the one whose key's low half is the block's
+            here = np.uint32(block[0] & 0xFFFFFFFF)
+            bands = np.flatnonzero((brief == here).all(0))
+            earlier = brief[:, : bands[0] if len(bands) else 0]
+            at_width: dict[int, np.ndarray] = {}
             out_u, out_v = [], []
             for x in range(len(rows) - 1):
                 end = int(np.searchsorted(n, n[x] * den // num, side="right"))  # rows are sorted by size
                 y = np.arange(x + 1, end)
                 y = y[comp[y] != comp[x]]
-                if block[1] != block[2]:
+                if block[1] == 0 or block[2] != block[3]:
                     y = y[second[y] != second[x]]
                 if len(y):
                     y = y[equal_minima(bits[:, y], bits[:, x : x + 1]) >= least]
+                if len(y) and earlier.shape[1]:
+                    y = y[~(earlier[y] == earlier[x]).any(1)]
+                if len(y):
+                    words = len(rows[x][5]) // 8
+                    if words not in at_width:  # larger sets have no fewer bits
+                        at_width[words] = np.array([
+                            folded(np.frombuffer(r[5], np.uint64), words) if len(r[5]) >= 8 * words else np.zeros(words, np.uint64) for r in rows])
+                    own = at_width[words]
+                    y = y[overlap_bound(n[x], n[y], own[x], own[y]) >= least_overlap(n[x], n[y], num, den)]
                     out_u += [node[x]] * len(y)
                     out_v += [node[k] for k in y]
             return out_u, out_v
@@ -196,39 +257,50 @@ class _Candidates:
             block, held = None, []
             for batch in batches:
                 found_u, found_v = [], []
-                for key, i, j, *rest in zip(*(c.to_pylist() for c in batch.columns)):
-                    if (key, i, j) != block:
+                for key, kind, i, j, *rest in zip(*(c.to_pylist() for c in batch.columns)):
+                    if (key, kind, i, j) != block:
                         if held:
                             u, v = close(block, held)
                             found_u += u
                             found_v += v
-                        block, held = (key, i, j), []
+                        block, held = (key, kind, i, j), []
                     held.append(rest)
                 yield pa.RecordBatch.from_arrays([pa.array(found_u, pa.binary()), pa.array(found_v, pa.binary())], ["u", "v"])
             if held:
                 u, v = close(block, held)
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], ["u", "v"])
 
-        found = dealt.mapInArrow(compare, LINK)
+        found = pieces.mapInArrow(compare, LINK)
         return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
     def estimated(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose signatures allow the threshold, with the part of the hub that a pair is dealt to."""
-        side = lambda n, s: self.texts.select(F.col("node").alias(n), F.col("signature").alias(s))
-        hubs = pairs.groupBy("u").agg(F.count("*").alias("many")).join(side("u", "left_bits"), "u")
-        least = least_equal(self.num, self.den)
+        side = lambda u: self.texts.select(*[F.col(c).alias(f"{u}_{c}" if c != "node" else u) for c in ("node", "n", "signature", "parity")])
+        hubs = pairs.groupBy("u").agg(F.count("*").alias("many")).join(side("u"), "u")
+        num, den, least = self.num, self.den, least_equal(self.num, self.den)
 
         def make():
-            return lambda xs, ys: (equal_minima(planes(xs), planes(ys)) >= least).tolist()
+            def bounded(a, b, x, y):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                width = min(len(x), len(y))
+                return overlap_bound(a, b, folded(x, width), folded(y, width)) >= least_overlap(a, b, num, den)
+
+            def work(n_u, n_v, bits_u, bits_v, parity_u, parity_v):
+                near = equal_minima(planes(bits_u), planes(bits_v)) >= least
+                return [bool(ok and bounded(*rest)) for ok, *rest in zip(near, n_u, n_v, parity_u, parity_v)]
+
+            return work
 
         possible = row_function(self.spark, make, "boolean")
-        met = join_unique(pairs, hubs, "u", "many").join(side("v", "right_bits"), "v")
-        return met.withColumn("possible", possible(F.col("left_bits"), F.col("right_bits"))).where("possible").select(
+        met = join_unique(pairs, hubs, "u", "many").join(side("v"), "v")
+        columns = [F.col(f"{x}_{c}") for c in ("n", "signature", "parity") for x in ("u", "v")]
+        return met.withColumn("possible", possible(*columns)).where("possible").select(
             "u", "v", F.pmod(F.xxhash64("v"), F.ceil(F.col("many") / GROUP)).cast("int").alias("part"))
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose full sets are similar enough.  A hub's text goes once to each group of about GROUP partners."""
-        dealt = staged(self.estimated(staged(pairs, "pairs")), "dealt")
+        """Pairs whose full sets are similar enough, staged.  A hub's text goes once to each group of about GROUP partners."""
+        pairs = staged(pairs, "pairs")
+        dealt = staged(self.estimated(pairs), "dealt")
         body = self.texts.select("node", "packed")
         partner = dealt.join(body.withColumnRenamed("node", "v"), "v").select("u", "part", "v", "packed")
         hub = dealt.select("u", "part").distinct().join(body.withColumnRenamed("node", "u"), "u").select(
@@ -252,17 +324,20 @@ class _Candidates:
                         linked_v.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(linked_u, pa.binary()), pa.array(linked_v, pa.binary())], ["u", "v"])
 
-        return rows.mapInArrow(check, LINK)
+        links = staged(rows.mapInArrow(check, LINK), "links")
+        discard(pairs, dealt)
+        return links
 
     def labels(self) -> DataFrame:
         """(node, comp) of the nodes that link with another."""
         links, comps = None, None
         for turn in range(ROUNDS + 1):
             pairs = self.hubs(comps, turn) if turn < ROUNDS else self.across(comps)
-            new = staged(self.confirmed(pairs), "links")
+            new = self.confirmed(pairs)
             # earlier components stand for earlier links
             links = new if comps is None else new.union(comps.select(F.col("node").alias("u"), F.col("comp").alias("v")))
             comps = components(links)
+        discard(self.members, self.texts)
         return comps
 
 
