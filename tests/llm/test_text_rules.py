@@ -163,3 +163,24 @@ def test_clean_documents_stay_whatever_the_number_of_labels(spark):
     found = language_mixture.identify(frame, language_mixture.train(train))
     kept = found.where(~language_mixture.rejected(F.col("language"))).collect()
     assert sorted(r.text for r in kept) == sorted(docs)
+
+
+def test_forest_does_not_depend_on_files(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    found = [
+        {(r.doc_id, r.anomaly, r.kept) for r in quality_forest.assess(docs.repartition(n), labels).select("doc_id", "anomaly", "kept").collect()}
+        for n in (1, 9)]
+    assert found[0] == found[1]
+
+
+def test_batch_bound_may_have_a_unit(spark):
+    from tradewind.llm import common
+
+    before = spark.conf.get(common.BATCH_KEY)
+    try:
+        for given, left in (("64m", str(common.BATCH_BYTES)), ("1m", "1m")):
+            spark.conf.set(common.BATCH_KEY, given)
+            common.ship(spark)
+            assert spark.conf.get(common.BATCH_KEY) == left
+    finally:
+        spark.conf.set(common.BATCH_KEY, before)

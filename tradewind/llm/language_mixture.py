@@ -3,7 +3,7 @@
 A document's character trigrams are taken as drawn from a mixture of languages.  Training counts hashed
 trigrams per language over all training documents.  For a document, expectation-maximisation estimates the
 languages' proportions from the trigram likelihoods; nested sets of the likeliest languages are then fitted
-and the set with the least penalised likelihood (-2 log L + k log n) is kept.  The prediction is the
+and the set with the least penalised likelihood (-2 log L + 3 (k - 1) log (n + 1)) is kept.  The prediction is the
 language of the largest proportion in that set; the score is that proportion, shrunk towards an even spread
 in short texts.
 

@@ -151,14 +151,15 @@ def grow(rows: np.ndarray, trees: int, sample: int, seed: int = 5) -> Forest:
     return Forest(out, sample)
 
 
-def fit(stats: DataFrame, rules: str = "rules", trees: int = TREES, sample: int = SAMPLE) -> Forest | None:
-    """Grown on the trees x sample rows whose statistics hash lowest: a bounded random sample."""
+def fit(stats: DataFrame, rules: str = "rules", trees: int = TREES, sample: int = SAMPLE, doc_id: str = "doc_id") -> Forest | None:
+    """Grown on the trees x sample rows whose id and statistics hash lowest: a bounded random sample, the same one however the rows lie in
+    files.  Rows that repeat an id and statistics hash alike, so they are in it together, as far as it reaches."""
     wanted = trees * sample
-    u = F.pmod(F.xxhash64("f", F.lit(11), F.monotonically_increasing_id()), F.lit(1 << 40))
-    picked = stats.select(F.col(f"{rules}.features").alias("f")).select("f", u.alias("u"))
+    picked = stats.select(F.col(f"{rules}.features").alias("f"), F.col(doc_id).cast("string").alias("id")).select(
+        "f", F.pmod(F.xxhash64("id", "f", F.lit(11)), F.lit(1 << 40)).alias("u"))
     # twice as many as wanted get this far, so that no task sends much of its own to the driver
     share = min(1.0, 2 * wanted / max(stats.count(), 1))
-    rows = picked.where(F.col("u") <= int(share * (1 << 40))).orderBy("u").limit(wanted).select("f").collect()
+    rows = picked.where(F.col("u") <= int(share * (1 << 40))).orderBy("u", "f").limit(wanted).select("f").collect()
     return grow(np.array([r.f for r in rows]), trees, sample) if rows else None
 
 
@@ -203,7 +204,7 @@ def calibrate(
 
 
 def assess(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, rules, anomaly, base_failed and kept of every document."""
+    """doc_id, rules, anomaly, base_failed and kept of every document; repeated rows are judged alike."""
     from tradewind.llm.common import staged
 
     stats = staged(rule_statistics(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))).select("doc_id", "rules"), "rules")
