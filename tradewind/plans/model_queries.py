@@ -543,7 +543,7 @@ QUERIES = {
     "win_category_rank": lambda s: s.stats.select("product_id", "category", "category_rank"),
     "win_top1": lambda s: s.profiles.select("customer_id", "favourite_category"),
     "win_topk": lambda s: ranking.top_n(
-        sales.product_sales(s.lines).join(s.products.select("product_id", "category"), "product_id"),
+        sales.product_revenue(s.lines).join(s.products.select("product_id", "category"), "product_id"),
         ["category"], [F.desc("revenue"), F.col("product_id")], 3).select("category", "rank", "product_id"),
     "win_ntile": lambda s: ranking.with_ntile(cut_lineage(s.rfm), "customer_id", "monetary", 5, "tile"),
 }
