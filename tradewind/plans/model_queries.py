@@ -53,7 +53,7 @@ STAGED = {
     "sales_trend_buyers_week", "sales_trend_buyers_month", "daily_anomalies_forest", "model_registry", "churn_summary",
     "churn_importance", "segmentation_curve", "als_grid", "als_recs_with_fallback", "forecast_index", "meta_names", "overview_rows",
     "product_rules", "anomaly_validation_file", "recommendation_rows", "recs_with_fallback_rows",
-    "customer_segments",
+    "customer_segments", "io_document_sink",
     "winback_export", "segment_top_customers", "segment_customers", "churn_by_segment", "churn_customers",
     "customer_search", "customer_actions", "feature_medians", "recs_with_fallback", "overview", "product_detail",
     "churn_features", "churn_labels", "risk_bands", "risk_histogram", "clv", "logit_contributions", "what_if_scores",
@@ -357,7 +357,7 @@ def _parquet_roundtrip(s: Sample) -> DataFrame:
 
 def _document_sink(s: Sample) -> DataFrame:
     path = scratch_path(s.spark, "order-documents")
-    sinks.write_documents(behaviour.order_documents(s.orders, s.lines), path, "order_id")
+    sinks.write_documents(behaviour.order_documents(s.orders, s.lines), path, "order_id", compression="gzip")
     docs = s.spark.read.schema(
         "_id bigint, part_no int, net_amount double, order_date string, items array<struct<line_no int, revenue double>>"
     ).json(path)

@@ -86,9 +86,9 @@ def to_documents(df: DataFrame, id_col: str | None = None) -> DataFrame:
     return out.select(F.col(id_col).alias("_id"), "*") if id_col else out
 
 
-def write_documents(df: DataFrame, path: str, id_col: str | None = None, drop_first: bool = True) -> None:
+def write_documents(df: DataFrame, path: str, id_col: str | None = None, drop_first: bool = True, compression: str | None = None) -> None:
     """Nested documents as JSON lines, one file per task."""
-    to_documents(df, id_col).write.mode("overwrite" if drop_first else "append").json(path)
+    to_documents(df, id_col).write.mode("overwrite" if drop_first else "append").json(path, compression=compression)
 
 
 def foreach_document_batch(
