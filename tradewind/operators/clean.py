@@ -13,6 +13,7 @@ from tradewind.functions.vocab import PAYMENT_METHODS, VALID_EVENTS
 from tradewind.sources.readers import Bronze
 
 MAX_CHAINED = 50
+ITEM_KEY = ["order_id", "line_no"]
 
 
 def blank_to_null(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -79,6 +80,13 @@ def dedupe_dealt(df: DataFrame, key: list[str], by: str, parts: int) -> DataFram
     return dedupe(df.repartition(parts, by), key)
 
 
+def leading(df: DataFrame, key: list[str], used: list[str]) -> DataFrame:
+    """The key and the columns up to the last one that is used.  The smallest row by them has the values of the smallest by
+    all columns, so that `dedupe` need not carry the others."""
+    rest = [c for c in df.columns if c not in key]
+    return df.select(*key, *rest[:1 + max(map(rest.index, used))])
+
+
 def fill_defaults(df: DataFrame, defaults: dict) -> DataFrame:
     """Column -> default for nulls; keeps each column's type."""
     types = dict(df.dtypes)
@@ -123,8 +131,7 @@ def valid_lines(raw: DataFrame) -> DataFrame:
 
 def clean_order_items(raw: DataFrame, parts: int | None = None) -> DataFrame:
     """One row per order and line; with `parts`, dealt by order into that many partitions."""
-    key = ["order_id", "line_no"]
-    return dedupe_rare(valid_lines(raw), key) if parts is None else dedupe_dealt(valid_lines(raw), key, "order_id", parts)
+    return dedupe_rare(valid_lines(raw), ITEM_KEY) if parts is None else dedupe_dealt(valid_lines(raw), ITEM_KEY, "order_id", parts)
 
 
 def normalise_events(raw: DataFrame) -> DataFrame:

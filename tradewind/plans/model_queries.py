@@ -64,6 +64,13 @@ STAGED = {
     "trend_fit", "high_value_all", "seasonal_effects", "smearing", "daily_anomalies", "rfm_scores", "scaled_features", "win_ntile", "high_value_orders",
 }
 
+# of these, the ones on customers' histories, without lines.  Those that fit models stay with the others: a model depends on its rows' order
+STAGED_ORDERS = {
+    "customer_segments", "winback_export", "segment_top_customers", "segment_customers", "churn_by_segment", "churn_customers",
+    "customer_search", "customer_actions", "feature_medians", "churn_features", "churn_labels", "risk_bands", "risk_histogram", "clv",
+    "logit_contributions", "what_if_scores", "segment_profile", "rfm_scores", "scaled_features", "win_ntile",
+}
+
 
 # --------------------------------------------------------------------- helpers over the sample
 def _scored_documents(s: Sample) -> DataFrame:

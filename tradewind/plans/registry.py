@@ -8,17 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.plans import gold_queries, model_oracle, model_queries
 from tradewind.plans.sample import Sample
+from tradewind.plans.silver import StagedOrders
 
 _QUERIES = [gold_queries, model_queries]
 _ORACLES = [gold_queries, model_oracle]
 
 
-def _run(build: Callable[[Sample], DataFrame], staged: bool) -> Callable[[SparkSession, str], DataFrame]:
+def _staging(family, name: str) -> bool | type[StagedOrders]:
+    return StagedOrders if name in getattr(family, "STAGED_ORDERS", ()) else name in family.STAGED
+
+
+def _run(build: Callable[[Sample], DataFrame], staged: bool | type[StagedOrders]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: build(Sample(spark, sf_dir, staged))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _run(build, name in family.STAGED) for family in _QUERIES for name, build in family.QUERIES.items()}
+    return {name: _run(build, _staging(family, name)) for family in _QUERIES for name, build in family.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

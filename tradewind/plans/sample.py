@@ -32,11 +32,11 @@ SAMPLE_LOGIT = LogitModel(0.35, (
 
 
 class Sample:
-    """Lazy view of one sample directory.  `staged` keeps the silver tables a query uses as Parquet
-    in the shared folder for the length of that query."""
+    """Lazy view of one sample directory.  `staged` (true, or a kind of Staged) keeps the silver tables a query uses as
+    Parquet in the shared folder for the length of that query."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, staged: bool = False):
-        self.spark, self.sf_dir, self.staged = spark, sf_dir, staged
+    def __init__(self, spark: SparkSession, sf_dir: str, staged: bool | type[Staged] = False):
+        self.spark, self.sf_dir, self.staged = spark, sf_dir, Staged if staged is True else staged
 
     def table(self, name: str) -> DataFrame:
         return roles.table(self.spark, self.sf_dir, name)
@@ -50,7 +50,7 @@ class Sample:
         tables = Silver(
             self.bronze, roles.city_vocabulary(self.spark, self.sf_dir), roles.PAYMENT_VOCABULARY,
             partial(silver.sessionise, gap_seconds=SESSION_GAP_SECONDS))
-        return Staged(self.spark, tables, scratch_path(self.spark, "silver")) if self.staged else tables
+        return self.staged(self.spark, tables, scratch_path(self.spark, "silver")) if self.staged else tables
 
     @property
     def customers(self) -> DataFrame:
@@ -79,7 +79,7 @@ class Sample:
     # ------------------------------------------------------------- features and scores
     @cached_property
     def rfm(self) -> DataFrame:
-        return features.rfm_features(self.orders, self.lines, self.silver.as_of)
+        return features.rfm_features(self.orders, self.silver.purchases, self.silver.as_of)
 
     @cached_property
     def clustered(self) -> DataFrame:
@@ -90,7 +90,7 @@ class Sample:
 
     def churn_features(self, as_of, session_as_of) -> DataFrame:
         return features.churn_features(
-            self.orders, self.lines, self.sessions, self.customers, as_of, session_as_of, roles.CASH_ON_DELIVERY)
+            self.orders, self.silver.purchases, self.sessions, self.customers, as_of, session_as_of, roles.CASH_ON_DELIVERY)
 
     @cached_property
     def training_features(self) -> DataFrame:
@@ -115,7 +115,7 @@ class Sample:
     @cached_property
     def profiles(self) -> DataFrame:
         return behaviour.customer_profiles(
-            self.orders, self.lines, self.sessions, self.customers, self.silver.as_of)
+            self.orders, self.silver.purchases, self.sessions, self.customers, self.silver.as_of)
 
     @cached_property
     def scored_profiles(self) -> DataFrame:

@@ -21,6 +21,7 @@ LAKE_LAYOUT = {"orders": ("order_month", "order_id"), "lines": ("order_month", "
 
 class _AsOf:
     orders: DataFrame
+    lines: DataFrame
     sessions: DataFrame
 
     @property
@@ -28,6 +29,11 @@ class _AsOf:
         """Latest order date of any status, as a scalar subquery."""
         return silver.as_of_date(self.orders).scalar()
 
+    @property
+    def purchases(self) -> DataFrame:
+        """What customers' histories need of lines: customer, day, revenue flag, category and revenue."""
+        return self.lines
+
     @property
     def session_as_of(self) -> Column:
         return self.sessions.agg(F.max("session_date").alias("as_of")).scalar()
@@ -147,6 +153,28 @@ class Staged(_AsOf):
         return frame
 
 
+class StagedOrders(Staged):
+    """The same for queries on customers' histories, which use no line as such: orders are written once, with the revenue of each
+    of their categories in them and without columns that no history has; there are no lines."""
+
+    def _lines(self) -> DataFrame:
+        raise AttributeError("orders are staged without lines")
+
+    def _orders(self) -> DataFrame:
+        raw, parts, path = self._tables.bronze, _buckets(self._spark), f"{self._root}/orders"
+        valid = clean.leading(clean.valid_lines(raw.order_items), clean.ITEM_KEY, ["product_id", "quantity", "list_price", "unit_price"])
+        items = clean.dedupe_dealt(silver.with_category(valid, self._tables.products), clean.ITEM_KEY, "order_id", parts)
+        header = clean.leading(raw.orders, ["order_id"], ["customer_id", "order_ts", "status", "payment_method", "device"])
+        orders = clean.clean_orders(header, self._tables.payment_methods, parts)
+        table = silver.order_purchases(orders, items.filter("in_catalogue"))
+        write_lake(table, path)
+        return self._spark.read.schema(table.schema).parquet(path)
+
+    @property
+    def purchases(self) -> DataFrame:
+        return silver.purchases(self.orders)
+
+
 def write_silver(spark: SparkSession, tables: Silver, root: str) -> Lake:
     """Writes all silver tables and returns them as read back; items are cleaned and priced once."""
     buckets = _buckets(spark)
