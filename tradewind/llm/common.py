@@ -21,7 +21,7 @@ PACKAGE = Path(__file__).resolve().parent.parent
 _shipped: set[str] = set()
 
 
-BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20
+BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 
 def ship(spark: SparkSession) -> None:
@@ -53,8 +53,27 @@ def keep_for(owner: str, forget: Callable[[], None]) -> None:
     _kept[owner] = forget
     if others:
         gc.collect()
-        if sys.platform == "linux":
-            ctypes.CDLL(None).malloc_trim(0)
+        release()
+
+
+def release() -> None:
+    """Gives memory that this process no longer uses back to the system."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def released(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """`work` over a task's batches, with `release` at its end: a worker waits for later tasks, and would hold
+    this one's buffers meanwhile, beside those of the workers that are busy."""
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            release()
+
+    return run
 
 
 def row_function(
@@ -69,6 +88,7 @@ def row_function(
     ship(spark)
     kind = to_arrow_type(F.udf(lambda: None, returns).returnType)
 
+    @released
     def run(batches: Iterator) -> Iterator[pa.Array]:
         work = make()
         for batch in batches:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import discard, fresh, keep_for, mix64, row_function, ship, staged, utf8
+from tradewind.llm.common import discard, fresh, keep_for, mix64, released, row_function, ship, staged, utf8
 
 HOT = 100_000  # shingles moved to the end of the order; any number gives the same links
 HOT_LOCAL = 8  # occurrences in one task from which a shingle is counted for that
@@ -151,7 +151,7 @@ def _hot_shingles(docs: DataFrame, words: int, num: int, den: int) -> np.ndarray
         if parts:
             yield counted(parts)
 
-    totals = docs.select("text").mapInArrow(frequent, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
+    totals = docs.select("text").mapInArrow(released(frequent), "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
     rows = staged(totals.withColumn("level", F.floor(F.log2("n") * 4).cast("int")), "frequent-shingles")
     room, least = HOT, 0
     for r in rows.groupBy("level").count().orderBy(F.desc("level")).collect():  # at most 256 levels
@@ -245,7 +245,7 @@ class _Search:
                     yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(packed, pa.binary())], ["row", "packed"])
 
         rows = docs.where("text is not null").select("row", F.xxhash64("row").alias("slot"), "text")
-        return rows.mapInArrow(pick, "row string, packed binary").join(owners, "row").dropDuplicates(["node"]).select("node", "packed")
+        return rows.mapInArrow(released(pick), "row string, packed binary").join(owners, "row").dropDuplicates(["node"]).select("node", "packed")
 
     def hubs(self, comps: DataFrame | None, turn: int) -> DataFrame:
         """Pairs (u: hub, v) of one hub per tile and its nodes of other components."""
@@ -311,7 +311,7 @@ class _Search:
                         linked_v.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(linked_u, pa.int64()), pa.array(linked_v, pa.int64())], ["u", "v"])
 
-        return rows.mapInArrow(check, "u bigint, v bigint")
+        return rows.mapInArrow(released(check), "u bigint, v bigint")
 
     def across(self, comps: DataFrame | None) -> DataFrame:
         """All pairs of nodes of one tile but different components that sizes and bitmaps allow.
@@ -384,7 +384,7 @@ class _Search:
                 u, v = close(tile, held)
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
-        found = dealt.mapInArrow(compare, "u bigint, v bigint")
+        found = dealt.mapInArrow(released(compare), "u bigint, v bigint")
         return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
     def labels(self) -> DataFrame:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import discard, join_unique, maybe_in, mix64, row_function, ship, staged, utf8
+from tradewind.llm.common import discard, join_unique, maybe_in, mix64, released, row_function, ship, staged, utf8
 from tradewind.llm.jaccard_join import components, folded, least_overlap, shingles
 
 K = 256  # minima
@@ -270,7 +270,7 @@ class _Candidates:
                 u, v = close(block, held)
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], ["u", "v"])
 
-        found = pieces.mapInArrow(compare, LINK)
+        found = pieces.mapInArrow(released(compare), LINK)
         return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
     def estimated(self, pairs: DataFrame) -> DataFrame:
@@ -324,7 +324,7 @@ class _Candidates:
                         linked_v.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(linked_u, pa.binary()), pa.array(linked_v, pa.binary())], ["u", "v"])
 
-        links = staged(rows.mapInArrow(check, LINK), "links")
+        links = staged(rows.mapInArrow(released(check), LINK), "links")
         discard(pairs, dealt)
         return links
 
