@@ -103,3 +103,35 @@ def test_chain_is_one_component_and_copies_don_t_pair(spark):
     sets = [shingles(t.encode(), 5) for _, t in docs[::40]]
     ends = len(np.intersect1d(sets[0], sets[-1])) / len(np.union1d(sets[0], sets[-1]))
     assert ends < 0.85 and {r.component_id for r in found} == {0} and sum(r.kept for r in found) == 1
+
+
+def test_pairs_of_a_cluster_do_not_grow_with_its_square(spark, monkeypatch):
+    """40 near copies, all within the threshold, give each round at most one pair a node, not all 780 at once."""
+    monkeypatch.setattr(md, "ROUNDS", 0)
+    rng, base, docs = random.Random(5), prose(77, 300).split(), []
+    for i in range(40):
+        words = list(base)
+        words[rng.randrange(300)] = f"new{i}"
+        docs.append((i + 1, " ".join(words)))
+    counts, confirmed = [], md._Candidates.confirmed
+    monkeypatch.setattr(md._Candidates, "confirmed", lambda own, pairs: counts.append(pairs.count()) or confirmed(own, pairs))
+    table = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert {r.component_id for r in md.near_duplicates(table, 5, 85, 100).collect()} == {1}
+    assert counts and sum(counts) <= 2 * len(docs)
+
+
+def test_partners_that_fail_give_way_to_the_next(spark, monkeypatch):
+    """Every rejected partner is followed by others until none is left: links are those of brute force."""
+    monkeypatch.setattr(md, "ROUNDS", 0)
+    monkeypatch.setattr(md, "MORE", 2)
+    rng, base, docs = random.Random(8), prose(55, 120).split(), []
+    for i in range(45):
+        words = list(base)
+        for _ in range(rng.choice([1, 2, 3])):
+            words[rng.randrange(120)] = f"new{rng.randrange(12)}"
+        docs.append((i + 1, " ".join(words)))
+    table = spark.createDataFrame(docs, "doc_id bigint, text string")
+    found = [(r.doc_id, r.component_id) for r in md.near_duplicates(table, 5, 85, 100).collect()]
+    expected = plain_components(docs, 5, 85, 100)
+    assert sorted(found) == sorted((d[0], d[-1]) for d in expected)
+    assert 1 < len({c for _, c in found}) < 45

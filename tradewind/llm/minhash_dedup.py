@@ -13,7 +13,9 @@ thresholds; below 0.75 the K minima don't suffice for MISSED.
 Equal sets are one node from the start (128-bit hash of the set).  A bucket, the nodes with one band key, is never paired
 with itself as a whole: rounds pair each node with one node only, the first in a random order of those that lead one of its buckets,
 if both are still in different components, and merge what is confirmed.  Buckets that still hold several components are compared in blocks of BLOCK nodes by bit counts, only across
-components: the nodes of a bucket's largest component once, against the others.  A pair comes out of the first band that it shares.  Keys that a large share of the rows has (buckets, hubs, copies of one text) are joined by broadcast.
+components: the nodes of a bucket's largest component once, against the others.  A pair comes out of the first band that it shares.  Of a
+node's partners only the likeliest are confirmed in a round, one in the first and MORE times as many in each later one; rounds
+end when no node has another partner outside its component, so none is left out.  Keys that a large share of the rows has (buckets, hubs, copies of one text) are joined by broadcast.
 
 Null, empty and blank texts have no shingles and link with nothing; a text of fewer words than `words` has one shingle.
 Repeated rows are one node.  Rows with a null id join components and get their names; a null never becomes a name unless all ids
@@ -29,7 +31,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import discard, join_unique, maybe_in, mix64, released, row_function, ship, staged, utf8
@@ -44,9 +46,11 @@ CHUNK = 256  # shingles hashed at a time, so that intermediate results stay in a
 BLOCK = 2_048
 GROUP = 256  # partners of a hub that are confirmed in one group
 ROUNDS = 3
+MORE = 8  # times the partners of a node that a later round confirms
 PARITY_BITS = 1 << 16  # at most, for one node
 SKETCH = "struct<n:bigint,node:binary,bands:array<bigint>,signature:binary,parity:binary,packed:binary>"
 LINK = "u binary, v binary"
+PARTNER = LINK + ", score double"
 
 
 @lru_cache(maxsize=1)
@@ -189,9 +193,13 @@ class _Candidates:
         first = F.min(F.struct(F.hash("u", F.lit(turn)).alias("rank"), "u"))
         return met.groupBy(F.col("node").alias("v")).agg(first.alias("first")).select("first.u", "v")
 
-    def across(self, comps: DataFrame | None) -> DataFrame:
-        """Pairs of nodes of one bucket but different components that their signatures allow."""
+    def across(self, comps: DataFrame | None, most: int, waiting: DataFrame | None) -> DataFrame:
+        """(u, v, rank): pairs of nodes of one bucket but different components that their signatures allow, by rank among u's.
+        A node has no more than `most` + 1 of a block; a rank above `most` says that it has others.  `waiting` (node, tried), from
+        the second time on, has the nodes whose pairs are wanted and the partners they were compared with."""
         members = self._labelled(comps)
+        if waiting is not None:
+            members = members.join(members.join(waiting.select("node"), "node", "left_semi").select("key").distinct(), "key", "left_semi")
         per_comp = members.groupBy("key", "comp").agg(F.count("*").alias("n_comp"))
         mixed = per_comp.groupBy("key").agg(
             F.count("*").alias("comps"), F.max(F.struct("n_comp", "comp")).alias("main"), F.sum("n_comp").alias("all")).where("comps > 1").select(
@@ -211,15 +219,18 @@ class _Candidates:
             "key", kind(1), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("second"),
             *columns)
         group = ["key", "kind", "i", "j"]
-        pieces = main.union(against).union(own).join(self.texts.select("node", "signature", "parity", "brief"), "node").select(
-            *group, "second", *columns, "signature", "parity", "brief")
+        own_tried = F.col("tried") if waiting is not None else F.array().cast("array<binary>")
+        pieces = main.union(against).union(own).join(self.texts.select("node", "signature", "parity", "brief"), "node")
+        if waiting is not None:
+            pieces = pieces.join(waiting, "node", "left")
+        pieces = pieces.select(*group, "second", *columns, "signature", "parity", "brief", own_tried.alias("tried"))
         pieces = pieces.repartition(*group).sortWithinPartitions(*group, "n", "node")
         num, den, least = self.num, self.den, least_equal(self.num, self.den)
 
         def close(block, rows):
             number = {c: i for i, c in enumerate({r[3] for r in rows})}
             if len(number) < 2:
-                return [], []
+                return [], [], []
             second = np.array([r[0] for r in rows])
             n = np.array([r[1] for r in rows])
             node = [r[2] for r in rows]
@@ -231,8 +242,10 @@ class _Candidates:
             bands = np.flatnonzero((brief == here).all(0))
             earlier = brief[:, : bands[0] if len(bands) else 0]
             at_width: dict[int, np.ndarray] = {}
-            out_u, out_v = [], []
+            out_u, out_v, out_score = [], [], []
             for x in range(len(rows) - 1):
+                if rows[x][7] is None:
+                    continue
                 end = int(np.searchsorted(n, n[x] * den // num, side="right"))  # rows are sorted by size
                 y = np.arange(x + 1, end)
                 y = y[comp[y] != comp[x]]
@@ -248,30 +261,38 @@ class _Candidates:
                         at_width[words] = np.array([
                             folded(np.frombuffer(r[5], np.uint64), words) if len(r[5]) >= 8 * words else np.zeros(words, np.uint64) for r in rows])
                     own = at_width[words]
-                    y = y[overlap_bound(n[x], n[y], own[x], own[y]) >= least_overlap(n[x], n[y], num, den)]
-                    out_u += [node[x]] * len(y)
-                    out_v += [node[k] for k in y]
-            return out_u, out_v
+                    score = overlap_bound(n[x], n[y], own[x], own[y]) / least_overlap(n[x], n[y], num, den)
+                    y, score = y[score >= 1], score[score >= 1]
+                    if rows[x][7]:
+                        tried = set(rows[x][7])
+                        new = np.array([node[k] not in tried for k in y], bool)
+                        y, score = y[new], score[new]
+                    best = np.argsort(-score, kind="stable")[: most + 1]
+                    out_u += [node[x]] * len(best)
+                    out_v += [node[k] for k in y[best]]
+                    out_score += score[best].tolist()
+            return out_u, out_v, out_score
+
+        def found_in(parts):
+            u, v, score = ([x for part in parts for x in part[c]] for c in range(3))
+            return pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary()), pa.array(score, pa.float64())], ["u", "v", "score"])
 
         def compare(batches):
             block, held = None, []
             for batch in batches:
-                found_u, found_v = [], []
+                parts = []
                 for key, kind, i, j, *rest in zip(*(c.to_pylist() for c in batch.columns)):
                     if (key, kind, i, j) != block:
                         if held:
-                            u, v = close(block, held)
-                            found_u += u
-                            found_v += v
+                            parts.append(close(block, held))
                         block, held = (key, kind, i, j), []
                     held.append(rest)
-                yield pa.RecordBatch.from_arrays([pa.array(found_u, pa.binary()), pa.array(found_v, pa.binary())], ["u", "v"])
+                yield found_in(parts)
             if held:
-                u, v = close(block, held)
-                yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], ["u", "v"])
+                yield found_in([close(block, held)])
 
-        found = pieces.mapInArrow(released(compare), LINK)
-        return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        found = pieces.mapInArrow(released(compare), PARTNER).groupBy("u", "v").agg(F.max("score").alias("score"))
+        return found.select("u", "v", F.row_number().over(Window.partitionBy("u").orderBy(F.desc("score"), "v")).alias("rank"))
 
     def estimated(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose signatures allow the threshold, with the part of the hub that a pair is dealt to."""
@@ -330,13 +351,28 @@ class _Candidates:
 
     def labels(self) -> DataFrame:
         """(node, comp) of the nodes that link with another."""
-        links, comps = None, None
-        for turn in range(ROUNDS + 1):
-            pairs = self.hubs(comps, turn) if turn < ROUNDS else self.across(comps)
-            new = self.confirmed(pairs)
+        comps = None
+
+        def merged(pairs: DataFrame) -> DataFrame:
+            links = self.confirmed(pairs)
             # earlier components stand for earlier links
-            links = new if comps is None else new.union(comps.select(F.col("node").alias("u"), F.col("comp").alias("v")))
-            comps = components(links)
+            return components(links if comps is None else links.union(comps.select(F.col("node").alias("u"), F.col("comp").alias("v"))))
+
+        for turn in range(ROUNDS):
+            comps = merged(self.hubs(comps, turn))
+        most, waiting, tried = 1, None, None
+        while True:
+            found = staged(self.across(comps, most, waiting), "partners")
+            pairs = found.where(F.col("rank") <= most).select("u", "v")
+            comps = merged(pairs)
+            open_ = found.where(F.col("rank") > most).select("u").distinct()
+            if open_.isEmpty():
+                break
+            tried = pairs if tried is None else pairs.union(tried)
+            waiting = staged(
+                tried.join(open_, "u", "left_semi").groupBy(F.col("u").alias("node")).agg(F.collect_list("v").alias("tried")), "waiting")
+            tried = waiting.select(F.col("node").alias("u"), F.explode("tried").alias("v"))
+            most *= MORE
         discard(self.members, self.texts)
         return comps
 
