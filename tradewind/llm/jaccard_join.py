@@ -32,16 +32,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import discard, fresh, keep_for, mix64, released, row_function, ship, staged, utf8
+from tradewind.llm.common import discard, fresh, mix64, released, row_function, ship, staged, utf8
 
 HOT = 100_000  # shingles moved to the end of the order; any number gives the same links
 HOT_LOCAL = 8  # occurrences in one task from which a shingle is counted for that
 SKETCH_SLOTS = 1 << 22  # one byte each
 HELD = 500_000  # such shingles a task holds before it hands their counts on
 BLOCK = 4_096
+FEW = 32  # nodes up to which a block is compared pair by pair
 HUB_GROUP = 512
 FILTER_BITS = 1 << 25  # bound of the filter that finds the texts of candidates: 4 MB
-REMEMBERED = 100_000
 SETS = "struct<n:bigint,node:bigint,bitmap:binary,small:binary,leading:binary,prefix:array<bigint>>"
 TILE = ["key", "band"]
 SMALL = 8  # 64-bit words of the bitmap that goes into blocks; what it lets through meets the whole one
@@ -50,29 +50,18 @@ LEADING = 8  # least prefix shingles that go into blocks; any number gives the s
 _FOLD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_hashes = WordHashes()
-
-
 def shingles(text: bytes | None, words: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word n-grams; bytes.lower and bytes.split are the ASCII rules wanted."""
     found = text.lower().split() if text else []
     if not found:
         return np.empty(0, np.uint64)
-    keep_for("word_hashes", _hashes.clear)
-    h = np.fromiter(map(_hashes.__getitem__, found), np.uint64, len(found))
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
     size = min(words, len(h))
     total = np.full(len(h) - size + 1, size, np.uint64)
     for i in range(size):
         total = mix64(total + h[i : len(h) - size + 1 + i] * _FOLD[0] + np.uint64(i))
-    return np.unique(total)
+    total.sort()
+    return total[np.concatenate(([True], total[1:] != total[:-1]))]
 
 
 def bitmap(hashes: np.ndarray) -> np.ndarray:
@@ -190,6 +179,33 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("comp"))
 
 
+def _close_few(tile: tuple, rows: list[tuple], num: int, den: int) -> tuple[list[int], list[int]]:
+    """What `across` finds in a small block, without arrays."""
+    out_u, out_v = [], []
+    bits = [int.from_bytes(r[4], "little") for r in rows]
+    for x, (second, n, comp, node, own, least, _) in enumerate(rows):
+        width, most = 8 * len(own), n * den // num
+        smaller = None
+        for y in range(x + 1, len(rows)):
+            other = rows[y]
+            if other[1] > most:
+                break  # rows are sorted by size
+            if not other[6] or other[2] == comp or (tile[2] != tile[3] and other[0] == second):
+                continue
+            theirs, wide = bits[y], 8 * len(other[4])
+            while wide > width:
+                wide //= 2
+                theirs = theirs >> wide ^ theirs & (1 << wide) - 1
+            if (n + other[1] - (bits[x] ^ theirs).bit_count()) // 2 < least_overlap(n, other[1], num, den):
+                continue
+            if smaller is None:
+                smaller = {k for k in np.frombuffer(least, np.int64).tolist() if k < tile[0]}
+            if smaller.isdisjoint(np.frombuffer(other[5], np.int64).tolist()):
+                out_u.append(node)
+                out_v.append(other[3])
+    return out_u, out_v
+
+
 class _Search:
     """The candidates of one corpus."""
 
@@ -245,7 +261,8 @@ class _Search:
                     yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(packed, pa.binary())], ["row", "packed"])
 
         rows = docs.where("text is not null").select("row", F.xxhash64("row").alias("slot"), "text")
-        return rows.mapInArrow(released(pick), "row string, packed binary").join(owners, "row").dropDuplicates(["node"]).select("node", "packed")
+        return rows.mapInArrow(released(pick), "row string, packed binary").join(owners, "row").dropDuplicates(
+            ["row", "node"]).select("node", "packed")  # a node has one row name, and rows are dealt by it already
 
     def hubs(self, comps: DataFrame | None, turn: int) -> DataFrame:
         """Pairs (u: hub, v) of one hub per tile and its nodes of other components."""
@@ -335,6 +352,8 @@ class _Search:
             def close(tile, rows):
                 if len({r[2] for r in rows}) < 2:
                     return [], []
+                if len(rows) <= FEW:
+                    return _close_few(tile, rows, num, den)
                 second = np.array([r[0] for r in rows])
                 n = np.array([r[1] for r in rows])
                 comp = np.array([r[2] for r in rows])
