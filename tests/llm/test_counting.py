@@ -172,3 +172,15 @@ def test_texts_with_u2581_are_restored(spark, dropout):
 def test_exact_pieces_restore_the_unchanged_text(text, key):
     own = piece_dropout.pieces(piece_dropout.default_model(), 0.3, None, 5)
     assert own.decode(own.encode(text, key, exact=True)).decode() == text
+
+
+def test_known_words_are_looked_up_once():
+    """Known words come with their ids; the places of the others are given, and odd ones are cut as before."""
+    own = byte_bpe.Words(byte_bpe.default_path())
+    text = "first alpha beta, alpha gamma beta,"
+    whole = own.ids(text)
+    first, middle, last, new = own._cut(text + " delta")
+    assert (first, last, new, middle[-1]) == ("first", [], [5], "delta") and all(isinstance(m, bytes) for m in middle[:-1])
+    assert own.ids(text) == whole == np.array(own.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    for odd in ("a  b", " a b ", "a \n b\tc d", "\x85 a b", "a b \x1c"):
+        assert own.ids(odd) == np.array(own.tokenizer.encode(odd, add_special_tokens=False).ids, "<u4").tobytes()

@@ -90,6 +90,22 @@ class Words:
             new = set(rest).difference(known)
         return first, rest, last, new
 
+    def _cut(self, text: str, odd: bool = False) -> tuple[str, list[str | bytes], list[str], list[int]]:
+        """Like `cut`, with the ids of the plain words, and where a word isn't known: it stands there itself instead of its ids."""
+        words = _CUT.split(text) if odd else text.split(" ")
+        first = words[0]
+        rest = words[1:]
+        last = [" " + rest.pop()] if odd and rest and self._odd(rest[-1]) else []
+        middle = list(map(self.ids_of.get, rest))
+        new, i = [], -1
+        for _ in range(middle.count(None)):
+            i = middle.index(None, i + 1)
+            new.append(i)
+            middle[i] = rest[i]
+        if not odd and (self._odd(first) or any([self._odd(rest[i]) for i in new])):
+            return self._cut(text, odd=True)
+        return first, middle, last, new
+
     def ids(self, text: str) -> bytes:
         """Token ids as little-endian unsigned 32-bit integers."""
         return self._group([text])[0]
@@ -107,8 +123,8 @@ class Words:
 
     def _group(self, texts: list[str]) -> list[bytes]:
         known = self.ids_of
-        cuts = [None if not t or self.is_special(t) else self.cut(t, known) for t in texts]
-        once = self._learn(set().union(*(c[3] for c in cuts if c)))
+        cuts = [None if not t or self.is_special(t) else self._cut(t) for t in texts]
+        once = self._learn({c[1][i] for c in cuts if c for i in c[3]})
         edges = iter(self.tokenise([part for c in cuts if c for part in (c[0], *c[2])]))
         packed = lambda ids: np.array(ids, "<u4").tobytes()
         out = []
@@ -116,12 +132,11 @@ class Words:
             if not cut:
                 out.append(packed(self.tokenise([text])[0]) if text else b"")
                 continue
-            _, rest, last, new = cut
+            _, middle, last, new = cut
             first = packed(next(edges))
-            if once and not once.keys().isdisjoint(new):
-                middle = [once[w] if w in once else known[w] for w in rest]
-            else:
-                middle = map(known.__getitem__, rest)
+            for i in new:
+                word = middle[i]
+                middle[i] = once[word] if word in once else known[word]
             out.append(b"".join((first, *middle, *(packed(next(edges)) for _ in last))))
         return out
 
