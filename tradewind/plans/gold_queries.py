@@ -18,6 +18,8 @@ MONEY_ORDER = ["gross_value", "net_amount", "discount_amount", "profit"]
 
 # queries that read the silver tables several times
 STAGED = {"kpi_document"}
+# queries that read orders and lines once each, by order
+DEALT = {"order_documents", "order_documents_flat"}
 
 
 def _edge(df, cols):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tradewind.operators import behaviour, churn, features, forecast, sales, segment, silver
 from tradewind.operators.churn import LogitModel, LogitTerm
-from tradewind.plans.silver import Silver, Staged
+from tradewind.plans.silver import Dealt, Silver, Staged
 from tradewind.sources import roles
 from tradewind.sources.scratch import cut_lineage, scratch_path
 
@@ -33,9 +33,9 @@ SAMPLE_LOGIT = LogitModel(0.35, (
 
 class Sample:
     """Lazy view of one sample directory.  `staged` (true, or a kind of Staged) keeps the silver tables a query uses as
-    Parquet in the shared folder for the length of that query."""
+    Parquet in the shared folder for the length of that query; Dealt writes nothing."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, staged: bool | type[Staged] = False):
+    def __init__(self, spark: SparkSession, sf_dir: str, staged: bool | type[Staged] | type[Dealt] = False):
         self.spark, self.sf_dir, self.staged = spark, sf_dir, Staged if staged is True else staged
 
     def table(self, name: str) -> DataFrame:
@@ -50,6 +50,8 @@ class Sample:
         tables = Silver(
             self.bronze, roles.city_vocabulary(self.spark, self.sf_dir), roles.PAYMENT_VOCABULARY,
             partial(silver.sessionise, gap_seconds=SESSION_GAP_SECONDS))
+        if self.staged is Dealt:
+            return Dealt(self.spark, tables)
         return self.staged(self.spark, tables, scratch_path(self.spark, "silver")) if self.staged else tables
 
     @property

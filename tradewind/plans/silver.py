@@ -114,6 +114,46 @@ class Lake(_AsOf):
         return getattr(self, name).filter(inside & F.col("order_date").between(start, end))
 
 
+class Dealt(Silver):
+    """The same orders and lines for queries that read both once, by order, and write nothing: what they look up (`GEO_USED`,
+    `CATALOGUE_USED`) is looked up in raw rows, which are then dealt by order once.  Repeated rows are dropped, sums taken and
+    both tables joined where they lie.  Orders have no categories."""
+
+    GEO_USED, CATALOGUE_USED = ["city", "state"], ["product_name", "category", "cost_price"]
+
+    def __init__(self, spark: SparkSession, tables: Silver):
+        super().__init__(tables.bronze, tables.cities, tables.payment_methods, tables.sessions_of)
+        self._parts = _buckets(spark)
+
+    @cached_property
+    def clean_orders(self) -> DataFrame:
+        return dealt_orders(self, self._parts, self.GEO_USED)
+
+    @cached_property
+    def _priced(self) -> DataFrame:
+        return dealt_priced(self, self._parts, self.CATALOGUE_USED)
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        return silver.with_header(self._priced, self.clean_orders)
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return silver.order_facts(self.clean_orders, silver.order_sums(self._priced))
+
+
+def dealt_orders(tables: Silver, parts: int, geo: list[str] = silver.GEO) -> DataFrame:
+    """Clean orders with their customers' geography, dealt by order."""
+    return clean.clean_orders(silver.with_geography(tables.bronze.orders, tables.customers, geo), tables.payment_methods, parts)
+
+
+def dealt_priced(tables: Silver, parts: int, catalogue: list[str] = silver.CATALOGUE) -> DataFrame:
+    """Clean, priced items with columns of their products, dealt by order."""
+    known = silver.with_catalogue(clean.valid_lines(tables.bronze.order_items), tables.products, catalogue)
+    one = clean.dedupe_dealt(known, clean.ITEM_KEY, "order_id", parts)
+    return silver.with_money(one.filter("in_catalogue").drop("in_catalogue"))
+
+
 class Staged(_AsOf):
     """Silver tables for work that reads them many times: each is written to `root` as Parquet when
     first used and read back from there, so it is cleaned and joined once and later scans are
