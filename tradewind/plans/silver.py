@@ -12,9 +12,11 @@ from tradewind.functions.calendar import month_key
 from tradewind.functions.vocab import CITY_COORDINATES, PAYMENT_METHODS
 from tradewind.operators import clean, silver
 from tradewind.sources.readers import Bronze
+from tradewind.sources.scratch import freed_shuffles
 from tradewind.sources.sinks import read_bucketed, write_bucketed, write_lake
 
 TABLES = ("customers", "products", "orders", "lines", "events", "sessions")
+LAKE_COMPRESSION = "zstd"
 # facts lie in folders by period and, in each, in buckets by order: table -> (partition column, bucket column)
 LAKE_LAYOUT = {"orders": ("order_month", "order_id"), "lines": ("order_month", "order_id")}
 
@@ -216,14 +218,24 @@ class StagedOrders(Staged):
 
 
 def write_silver(spark: SparkSession, tables: Silver, root: str) -> Lake:
-    """Writes all silver tables and returns them as read back; items are cleaned and priced once."""
+    """Writes all silver tables and returns them as read back.  Facts are looked up in raw rows and dealt by order once, into the
+    buckets they are written in; items are cleaned and priced once.  One table is written after the other, and the shuffle files
+    of each go before the next."""
     buckets = _buckets(spark)
     spark.range(1).select(F.lit(buckets).alias("buckets")).coalesce(1).write.mode("overwrite").json(f"{root}/layout")
-    lines = write_bucketed(
-        tables.lines.withColumn("order_month", month_key("order_date")), f"{root}/lines", *LAKE_LAYOUT["lines"], buckets)
-    write_bucketed(tables.orders_from(lines), f"{root}/orders", *LAKE_LAYOUT["orders"], buckets)
-    for name in ("customers", "products", "events"):
-        write_lake(getattr(tables, name), f"{root}/{name}")
-    sessions = tables.sessions_of(spark.read.parquet(f"{root}/events"))
-    write_lake(sessions, f"{root}/sessions")
+
+    def fact(name: str, table: DataFrame) -> DataFrame:
+        with freed_shuffles(spark):
+            return write_bucketed(table, f"{root}/{name}", *LAKE_LAYOUT[name], buckets, LAKE_COMPRESSION)
+
+    headers = clean.clean_orders(tables.bronze.orders, tables.payment_methods, buckets)
+    lines = fact("lines", silver.with_header(dealt_priced(tables, buckets), headers).select(*tables.lines.columns).withColumn(
+        "order_month", month_key("order_date")))
+    # the sums come from the written lines; an item without an order, which they lack, belongs to none here either
+    facts = silver.order_facts(dealt_orders(tables, buckets), silver.order_totals(lines))
+    fact("orders", facts.select(*tables.orders.columns))
+    for name in ("customers", "products", "events", "sessions"):
+        with freed_shuffles(spark):
+            table = getattr(tables, name) if name != "sessions" else tables.sessions_of(spark.read.parquet(f"{root}/events"))
+            write_lake(table, f"{root}/{name}", compression=LAKE_COMPRESSION)
     return Lake(spark, root)

@@ -17,19 +17,21 @@ from tradewind.sources.scratch import remove_path, scratch_path
 DOCUMENT_BATCH = 2000
 
 
-def write_lake(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+def write_lake(df: DataFrame, path: str, partition_by: str | None = None, compression: str | None = None) -> None:
     """Overwrites a Parquet table.
 
     With a partition column the rows are first clustered on it, so that each
     partition gets few large files; AQE splits a hot partition value over tasks.
     """
     if partition_by:
-        (df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path))
+        (df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path, compression=compression))
     else:
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path, compression=compression)
 
 
-def write_bucketed(df: DataFrame, path: str, partition_by: str | None, bucket_by: str, buckets: int) -> DataFrame:
+def write_bucketed(
+    df: DataFrame, path: str, partition_by: str | None, bucket_by: str, buckets: int, compression: str | None = None,
+) -> DataFrame:
     """Writes a Parquet table in folders per partition value, if there is one to name, each in `buckets` files by the hash of a key, and reads it back.
 
     Filters on the partition column read only its folders; joins and groupings on the key need no shuffle between tables with the
@@ -37,6 +39,8 @@ def write_bucketed(df: DataFrame, path: str, partition_by: str | None, bucket_by
     spark = df.sparkSession
     name = f"bucketed_{uuid.uuid4().hex}"
     writer = df.repartition(buckets, bucket_by).write.mode("overwrite")
+    if compression:
+        writer = writer.option("compression", compression)
     ((writer.partitionBy(partition_by) if partition_by else writer)
      .bucketBy(buckets, bucket_by).sortBy(bucket_by).option("path", path).saveAsTable(name))
     return spark.table(name)
